@@ -11,8 +11,9 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType
 
-from skyledger.schemas import FACT_COLUMNS
+from skyledger.schemas import FACT_RAW
 
 _FACT_BASE = """
   SELECT l.l_orderkey AS ok, l.l_linenumber AS ln, l.l_partkey AS pk,
@@ -24,41 +25,48 @@ _FACT_BASE = """
   JOIN {supplier} s ON l.l_suppkey  = s.s_suppkey
   JOIN {customer} c ON o.o_custkey  = c.c_custkey"""
 
+# Texts that several columns share.
+_FACT_TEXTS = """
+  SELECT *, CAST(car AS STRING) AS cs, CAST(onk AS STRING) AS os, CAST(dnk AS STRING) AS ds,
+    CAST(onk % 5 AS STRING) AS oc, CAST(dnk % 5 AS STRING) AS dc, abs(onk - dnk) AS gap,
+    concat('C', CAST(car AS STRING), CASE WHEN ok % 97 = 0 THEN '(1)' ELSE '' END) AS code
+  FROM base"""
+
 _FACT = """
   SELECT ok * 8 + ln AS row_id,
     yr AS Year, CAST((mo + 2 - (mo + 2) % 3) / 3 AS INT) AS Quarter, mo AS Month,
-    concat('C', CAST(car AS STRING), CASE WHEN ok % 97 = 0 THEN '(1)' ELSE '' END) AS UniqueCarrier,
+    code AS UniqueCarrier,
     CAST(CASE WHEN ok % 83 = 0 THEN NULL WHEN ok % 89 = 0 OR car = 19 THEN 0
          WHEN ok % 61 = 0 THEN 20000 + (car + 1) % 20 ELSE 20000 + car END AS INT) AS AirlineID,
-    concat(CASE pk % 4 WHEN 1 THEN ' CARRIER ' WHEN 2 THEN 'carrier ' ELSE 'Carrier ' END, CAST(car AS STRING),
+    concat(CASE pk % 4 WHEN 1 THEN ' CARRIER ' WHEN 2 THEN 'carrier ' ELSE 'Carrier ' END, cs,
            CASE pk % 4 WHEN 0 THEN ' Air Lines Inc.' WHEN 1 THEN ' AIR LINES, INC.' WHEN 2 THEN ' Airls. Co.' ELSE ' Airls LLC' END) AS UniqueCarrierName,
-    concat('E', CAST(car AS STRING)) AS UniqCarrierEntity,
+    concat('E', cs) AS UniqCarrierEntity,
     CASE WHEN ok % 19 = 0 THEN 'NULL' WHEN ok % 23 = 0 THEN NULL WHEN car = 18 THEN '' ELSE concat('R', CAST(car % 4 AS STRING)) END AS CarrierRegion,
-    concat('C', CAST(car AS STRING), CASE WHEN ok % 97 = 0 THEN '(1)' ELSE '' END) AS Carrier,
-    CASE WHEN ok % 79 = 0 THEN NULL ELSE concat('C', CAST(car AS STRING)) END AS CarrierName,
+    code AS Carrier,
+    CASE WHEN ok % 79 = 0 THEN NULL ELSE concat('C', cs) END AS CarrierName,
     CASE car % 3 WHEN 0 THEN 'Major' WHEN 1 THEN 'National' ELSE 'Regional' END AS CarrierGroup,
     CASE car % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'E' ELSE NULL END AS CarrierGroupNew,
-    concat('N', CAST(onk AS STRING)) AS Origin, 10000 + onk AS OriginAirportID,
+    concat('N', os) AS Origin, 10000 + onk AS OriginAirportID,
     CASE WHEN ok % 53 = 0 THEN 10000 + onk ELSE (10000 + onk) * 100 + 1 + ok % 2 END AS OriginAirportSeqID,
     CASE WHEN ok % 47 = 0 THEN 10000 + onk ELSE 30000 + onk END AS OriginCityMarketID,
-    CASE WHEN ok % 103 = 0 THEN '' WHEN ok % 3 = 0 THEN concat('CITY ', CAST(onk AS STRING)) ELSE concat('City ', CAST(onk AS STRING)) END AS OriginCityName,
-    concat('P', CAST(onk % 5 AS STRING)) AS OriginCountry, concat('Country ', CAST(onk % 5 AS STRING)) AS OriginCountryName, onk % 5 AS OriginWAC,
-    concat('N', CAST(dnk AS STRING)) AS Dest, 10000 + dnk AS DestAirportID,
+    CASE WHEN ok % 103 = 0 THEN '' WHEN ok % 3 = 0 THEN concat('CITY ', os) ELSE concat('City ', os) END AS OriginCityName,
+    concat('P', oc) AS OriginCountry, concat('Country ', oc) AS OriginCountryName, onk % 5 AS OriginWAC,
+    concat('N', ds) AS Dest, 10000 + dnk AS DestAirportID,
     CASE WHEN ok % 107 = 0 THEN 10000 + dnk ELSE (10000 + dnk) * 100 + 1 + ok % 2 END AS DestAirportSeqID,
     CASE WHEN ok % 109 = 0 THEN 10000 + dnk ELSE 30000 + dnk END AS DestCityMarketID,
-    CASE WHEN ok % 113 = 0 THEN NULL ELSE concat('City ', CAST(dnk AS STRING)) END AS DestCityName,
-    concat('P', CAST(dnk % 5 AS STRING)) AS DestCountry, concat('Country ', CAST(dnk % 5 AS STRING)) AS DestCountryName, dnk % 5 AS DestWAC,
+    CASE WHEN ok % 113 = 0 THEN NULL ELSE concat('City ', ds) END AS DestCityName,
+    concat('P', dc) AS DestCountry, concat('Country ', dc) AS DestCountryName, dnk % 5 AS DestWAC,
     'JET' AS AircraftGroup, CASE WHEN ok % 127 = 0 THEN NULL ELSE concat('T', CAST(pk % 7 AS STRING)) END AS AircraftType, 'TWIN' AS AircraftConfig,
     CASE WHEN ok % 43 = 0 THEN NULL WHEN ok % 41 = 0 THEN ' ' WHEN ok % 7 = 0 THEN 'G' WHEN car % 2 = 0 THEN 'F' ELSE 'L' END AS Class,
     qty AS DepScheduled, qty + ln - 5 AS DepPerformed,
     CASE WHEN ok % 37 = 0 THEN 0 ELSE qty * 150 END AS Seats, CAST(qty * (100 + pk % 60) AS INT) AS Passengers,
     CASE WHEN ok % 29 = 0 THEN CAST(-1 AS DOUBLE) WHEN ok % 71 = 0 THEN NULL ELSE ep * disc * 12 END AS Freight,
     CAST(0 AS DOUBLE) AS Mail, ep AS Payload,
-    CASE WHEN ok % 31 = 0 THEN NULL WHEN ok % 59 = 0 THEN CAST(-5 AS DOUBLE) ELSE CAST(250 * abs(onk - dnk) AS DOUBLE) END AS Distance,
-    CAST(CASE WHEN abs(onk - dnk) = 0 THEN NULL ELSE (abs(onk - dnk) + 1) END AS INT) AS DistanceGroup,
+    CASE WHEN ok % 31 = 0 THEN NULL WHEN ok % 59 = 0 THEN CAST(-5 AS DOUBLE) ELSE CAST(250 * gap AS DOUBLE) END AS Distance,
+    CAST(CASE WHEN gap = 0 THEN NULL ELSE gap + 1 END AS INT) AS DistanceGroup,
     CAST(CASE WHEN ok % 67 = 0 THEN 9999 ELSE 60 + pk % 300 END AS INT) AS RampTime,
     CAST(CASE WHEN ok % 73 = 0 THEN 0 ELSE 40 + pk % 300 + ln * 3 END AS INT) AS AirTime
-  FROM base"""
+  FROM texts"""
 
 # Airport code -> description. Some airports are missing, some have several
 # entries, some an empty one.
@@ -149,28 +157,27 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw segments: 43 columns and ``row_id``."""
-    text = f"WITH base AS ({_FACT_BASE}), t100 AS ({_FACT}{_COPIES_SPARK}) SELECT * FROM t100"
+    text = f"WITH base AS ({_FACT_BASE}), texts AS ({_FACT_TEXTS}), t100 AS ({_FACT}{_COPIES_SPARK}) SELECT * FROM t100"
     fact = _run(spark, sf_dir, text)
-    return fact.select("row_id", *[fact[c].cast("int").alias(c) if c in _INTS else fact[c] for c in FACT_COLUMNS])
+    return fact.select("row_id", *[fact[c].cast(kind) if kind != fact.schema[c].dataType else c for c, kind in _TYPES.items()])
 
 
 def lookup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _run(spark, sf_dir, _LOOKUPS[name])
 
 
-_INTS = {"Year", "Quarter", "Month", "AirlineID", "OriginAirportID", "OriginAirportSeqID",
-         "OriginCityMarketID", "OriginWAC", "DestAirportID", "DestAirportSeqID",
-         "DestCityMarketID", "DestWAC", "DepScheduled", "DepPerformed", "Seats", "Passengers",
-         "DistanceGroup", "RampTime", "AirTime"}
+_TYPES = {field.name: field.dataType for field in FACT_RAW}
+_INTS = [name for name, kind in _TYPES.items() if isinstance(kind, IntegerType)]
 
 
 @cache
 def oracle_ctes() -> dict[str, str]:
     """The same inputs as named SQL subqueries for the oracle."""
     plain = {t: t for t in ("lineitem", "orders", "supplier", "customer")}
-    ints = ", ".join(f"CAST({c} AS INT) AS {c}" for c in FACT_COLUMNS if c in _INTS)
+    ints = ", ".join(f"CAST({c} AS INT) AS {c}" for c in _INTS)
     return {
         "base": _FACT_BASE.format(**plain),
+        "texts": _FACT_TEXTS,
         "t100": f"SELECT * REPLACE ({ints}) FROM ({_FACT}{_COPIES_ORACLE})",
         **{name: text.format(**plain) for name, text in _LOOKUPS.items()},
     }

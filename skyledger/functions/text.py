@@ -15,7 +15,7 @@ def strip(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    return F.when(strip(col) != "", col)
+    return F.when(col.rlike(r"(?U)\S"), col)
 
 
 def tokens_to_null(col: Column, tokens=fv.NA_TOKENS) -> Column:

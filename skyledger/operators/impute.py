@@ -104,24 +104,23 @@ def dominant_by_key(df: DataFrame, key: str, value: str, weight: str) -> DataFra
     )
 
 
-def fill_from(
-    df: DataFrame, target: str, found: str, when: Column, otherwise: Column | None = None
+def fill_missing(
+    df: DataFrame, target: str, found: str, default: Column | None = None,
+    usable: Column | None = None,
 ) -> DataFrame:
-    """Where ``when`` holds, set ``target`` to column ``found``, or to ``otherwise`` if null."""
-    value = F.col(found) if otherwise is None else F.coalesce(F.col(found), otherwise)
-    return df.withColumn(target, F.when(when, value).otherwise(F.col(target))).drop(found)
+    """Where ``target`` is null or not ``usable``: column ``found``, else ``default``."""
+    kept = F.col(target) if usable is None else F.when(usable, F.col(target))
+    choices = [kept, F.col(found)] + ([] if default is None else [default])
+    return df.withColumn(target, F.coalesce(*choices)).drop(found)
 
 
-def fill(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    target: str,
-    when: Column,
-    area: StagingArea,
-    otherwise: Column | None = None,
-    **join_options,
+def fill_wrong(df: DataFrame, target: str, found: str, wrong: Column) -> DataFrame:
+    """Where ``wrong`` holds and there is a ``found``, that; else ``target`` as it is."""
+    return df.withColumn(target, F.coalesce(F.when(wrong, F.col(found)), F.col(target))).drop(found)
+
+
+def join_found(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], area: StagingArea, **join_options
 ) -> DataFrame:
-    """``fill_from`` after joining ``table``, which maps ``keys`` to the value."""
-    joined = attach(df, table, keys, area, name=f"fill-{target}", **join_options)
-    return fill_from(joined, target, FILL, when, otherwise)
+    """``df`` with the table's value per key in column ``FILL``."""
+    return attach(df, table, keys, area, name="found", **join_options)

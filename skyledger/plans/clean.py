@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger import fixed_values as fv
 from skyledger.functions.numbers import holds
 from skyledger.operators.evidence import Evidence, EvidenceTables
-from skyledger.operators.impute import FILL, fill, fill_from
+from skyledger.operators.impute import FILL, fill_missing, fill_wrong
 from skyledger.plans import rules as r
 from skyledger.plans.derive import add_measures
 from skyledger.staging import StagingArea
@@ -75,32 +75,34 @@ def run_rules(
     identified = r.use_airline_ids(named, ids, area, rows=ids.count())
 
     # Everything up to the next evidence changes a row from its own columns only.
-    prepared = r.r04_carrier_name(r.blanks_to_null(identified))
+    # R04 has no carrier name to fill: R17 made it equal to the code it is filled from.
+    prepared = r.blanks_to_null(identified, r.REQUIRED_TEXTS[1:])
     prepared = r.r08_times(r.r06_cap_passengers(r.r05_cap_departures(prepared)))
     prepared = r.region_tokens_to_null(prepared)
 
     known = EvidenceTables(prepared, _specs(), "Passengers", area, order_by)
     df = known.join(prepared, "UniqueCarrier")
-    df = fill_from(df, "Class", "_class", F.col("Class").isNull())
-    lookup = r.airport_cities(airports)
-    for end in r.ENDS:
-        seen = known.table((end,)).withColumnRenamed(f"_{end}_city", FILL)
-        cities = r.best_cities(end, lookup, seen)
-        df = fill(df, cities, [end], f"{end}CityName", F.col(f"{end}CityName").isNull(), area)
+    df = fill_missing(df, "Class", "_class")
     df = r.assign_dominant_id(df, "_dominant_id")
+    cities = r.CityTables(
+        r.airport_cities(airports),
+        {end: known.table((end,)).withColumnRenamed(f"_{end}_city", FILL) for end in r.ENDS},
+        area,
+    )
+    df = cities.fill(df, "Origin")
+    df = fill_missing(df, "CarrierRegion", "_region", F.lit(fv.UNKNOWN_REGION))
+    df = cities.fill(df, "Dest")
+    df = r.use_ended_carriers(df, r.ended_carriers(history), area)  # ids are never null here
+    df = r.r14_seat_flag(r.r13_cap_freight(df))
     for end in r.ENDS:
         target = f"{end}AirportSeqID"
         df = known.join(df, f"{end}AirportID", "Year")
-        df = fill_from(df, target, f"_{end}_seq", r.seq_is_airport(end), F.col(target))
+        df = fill_wrong(df, target, f"_{end}_seq", r.seq_is_airport(end))
     for end in r.ENDS:
         target = f"{end}CityMarketID"
         df = known.join(df, f"{end}AirportID")
-        df = fill_from(df, target, f"_{end}_market", r.market_is_airport(end), F.col(target))
-    df = r.r14_seat_flag(r.r13_cap_freight(df))
-    df = r.r16_inactive(df, history, area)
-    repaired = fill_from(
-        df, "CarrierRegion", "_region", F.col("CarrierRegion").isNull(), F.lit(fv.UNKNOWN_REGION)
-    )
+        df = fill_wrong(df, target, f"_{end}_market", r.market_is_airport(end))
+    repaired = df
     final = r.r10_dedupe(repaired, order_by)
     return CleanRun(
         raw, deduped, routes, flown, coded, identified, prepared, repaired, final

@@ -16,8 +16,10 @@ from skyledger.functions.numbers import cap, holds, to_date, to_number, within
 from skyledger.operators.impute import (
     FILL,
     dominant_by_key,
-    fill,
+    fill_missing,
+    fill_wrong,
     first_by_key,
+    join_found,
     last_by_key,
     max_by_key,
     mode_by_key,
@@ -67,7 +69,8 @@ def route_distances(df: DataFrame, null_keys: bool = False) -> DataFrame:
 
 
 def use_route_distance(df: DataFrame, routes: DataFrame, area: StagingArea, **options) -> DataFrame:
-    filled = fill(df, routes, ENDS, "Distance", ~valid_distance(), area, **options)
+    joined = join_found(df, routes, ENDS, area, **options)
+    filled = fill_missing(joined, "Distance", FILL, usable=F.col("Distance") > 0)
     return filled.where(F.col("Distance") > 0)
 
 
@@ -105,11 +108,8 @@ def known_airline_ids(df: DataFrame, order_by: Sequence[str] = ROW_ORDER) -> Dat
 
 
 def use_airline_ids(df: DataFrame, ids: DataFrame, area: StagingArea, **options) -> DataFrame:
-    zeroed = df.withColumn("AirlineID", F.coalesce("AirlineID", F.lit(0)))
-    filled = fill(
-        zeroed, ids, ["UniqueCarrier"], "AirlineID", F.col("AirlineID") == 0, area, F.lit(0),
-        **options,
-    )
+    joined = join_found(df, ids, ["UniqueCarrier"], area, **options)
+    filled = fill_missing(joined, "AirlineID", FILL, F.lit(0), usable=F.col("AirlineID") != 0)
     return mark_unknown_carrier(filled)
 
 
@@ -137,9 +137,8 @@ def r03_airline_id(
 # -- R04: required texts ---------------------------------------------------------
 
 
-def blanks_to_null(df: DataFrame) -> DataFrame:
-    present = [c for c in REQUIRED_TEXTS if c in df.columns]
-    return df.withColumns({c: text.blank_to_null(F.col(c)) for c in present})
+def blanks_to_null(df: DataFrame, columns: Sequence[str] = REQUIRED_TEXTS) -> DataFrame:
+    return df.withColumns({c: text.blank_to_null(F.col(c)) for c in columns})
 
 
 def r04_carrier_name(df: DataFrame) -> DataFrame:
@@ -148,7 +147,7 @@ def r04_carrier_name(df: DataFrame) -> DataFrame:
 
 def r04_class_mode(df: DataFrame, area: StagingArea) -> DataFrame:
     modes = mode_by_key(df, ["UniqueCarrier"], "Class")
-    return fill(df, modes, ["UniqueCarrier"], "Class", F.col("Class").isNull(), area)
+    return fill_missing(join_found(df, modes, ["UniqueCarrier"], area), "Class", FILL)
 
 
 def airport_cities(airports: DataFrame, order_by: Sequence[str] = ROW_ORDER) -> DataFrame:
@@ -162,33 +161,50 @@ def r04_city_lookup(df: DataFrame, airports: DataFrame, area: StagingArea) -> Da
     rows = cities.count()
     for end in ENDS:
         named = cities.withColumnRenamed("Code", end)
-        missing = F.col(f"{end}CityName").isNull()
-        df = fill(df, named, [end], f"{end}CityName", missing, area, rows=rows)
+        df = fill_missing(join_found(df, named, [end], area, rows=rows), f"{end}CityName", FILL)
     return df
 
 
 def r04_city_mode(df: DataFrame, area: StagingArea) -> DataFrame:
     for end in ENDS:
         modes = mode_by_key(df, [end], f"{end}CityName")
-        df = fill(df, modes, [end], f"{end}CityName", F.col(f"{end}CityName").isNull(), area)
+        df = fill_missing(join_found(df, modes, [end], area), f"{end}CityName", FILL)
     return df
 
 
-def best_cities(end: str, from_lookup: DataFrame, from_data: DataFrame) -> DataFrame:
-    """City per airport code: the lookup's where it has one, else the data's."""
-    both = from_lookup.select(F.col("Code").alias(end), FILL, F.lit(0).alias("_source")).unionByName(
-        from_data.select(end, FILL, F.lit(1).alias("_source"))
-    )
-    return both.dropna(subset=[end, FILL]).groupBy(end).agg(F.min_by(FILL, "_source").alias(FILL))
+class CityTables:
+    """Cities per airport and end: the lookup's where it has one, else the data's.
+
+    Both ends are written as one table, which is counted once.
+    """
+
+    def __init__(self, lookup: DataFrame, modes: dict[str, DataFrame], area: StagingArea):
+        ranked = None
+        for end, seen in modes.items():
+            for source, table in enumerate(
+                (lookup.select(F.col("Code").alias("_code"), FILL),
+                 seen.select(F.col(end).alias("_code"), FILL))
+            ):
+                part = table.dropna().select(
+                    F.lit(end).alias("_end"), "_code", FILL, F.lit(source).alias("_source")
+                )
+                ranked = part if ranked is None else ranked.unionByName(part)
+        best = ranked.groupBy("_end", "_code").agg(F.min_by(FILL, "_source").alias(FILL))
+        self.written = area.table(best, "cities")
+        self.rows = self.written.count()
+        self.area = area
+
+    def fill(self, df: DataFrame, end: str) -> DataFrame:
+        cities = self.written.where(F.col("_end") == end).select(F.col("_code").alias(end), FILL)
+        joined = join_found(df, cities, [end], self.area, rows=self.rows)
+        return fill_missing(joined, f"{end}CityName", FILL)
 
 
 def r04_city(df: DataFrame, airports: DataFrame, area: StagingArea) -> DataFrame:
     """Missing city: the airport lookup's, else the airport's most frequent city in the data."""
-    lookup, source = airport_cities(airports), df
-    for end in ENDS:
-        cities = best_cities(end, lookup, mode_by_key(source, [end], f"{end}CityName"))
-        df = fill(df, cities, [end], f"{end}CityName", F.col(f"{end}CityName").isNull(), area)
-    return df
+    modes = {end: mode_by_key(df, [end], f"{end}CityName") for end in ENDS}
+    cities = CityTables(airport_cities(airports), modes, area)
+    return cities.fill(cities.fill(df, "Origin"), "Dest")
 
 
 def r04_required(
@@ -217,8 +233,11 @@ def r08_times(df: DataFrame) -> DataFrame:
     df = df.withColumns(
         {c: within(F.col(c), fv.MINUTES_MIN, fv.MINUTES_MAX) for c in ("AirTime", "RampTime")}
     )
-    coherent = ~holds(air > ramp)
-    return df.withColumns({"AirTime": F.when(coherent, air), "RampTime": F.when(coherent, ramp)})
+    df = df.withColumn("_coherent", ~holds(air > ramp))
+    coherent = F.col("_coherent")
+    return df.withColumns(
+        {"AirTime": F.when(coherent, air), "RampTime": F.when(coherent, ramp)}
+    ).drop("_coherent")
 
 
 # -- R09: one id per carrier code ----------------------------------------------------
@@ -234,7 +253,7 @@ def assign_dominant_id(df: DataFrame, found: str) -> DataFrame:
         {
             "is_merged_carrier": other,
             "AirlineID_original": F.col("AirlineID"),
-            "AirlineID": F.when(other, F.col(found)).otherwise(F.col("AirlineID")),
+            "AirlineID": F.coalesce(found, "AirlineID"),
         }
     ).drop(found)
 
@@ -254,7 +273,7 @@ def r11_airport_seq(
     for end in ENDS:
         keys, target = [f"{end}AirportID", "Year"], f"{end}AirportSeqID"
         sound = first_by_key(df, keys, target, ~holds(seq_is_airport(end)), order_by)
-        df = fill(df, sound, keys, target, seq_is_airport(end), area, F.col(target))
+        df = fill_wrong(join_found(df, sound, keys, area), target, FILL, seq_is_airport(end))
     return df
 
 
@@ -265,7 +284,7 @@ def r12_city_market(
     for end in ENDS:
         keys, target = [f"{end}AirportID"], f"{end}CityMarketID"
         sound = first_by_key(df, keys, target, ~holds(market_is_airport(end)), order_by)
-        df = fill(df, sound, keys, target, market_is_airport(end), area, F.col(target))
+        df = fill_wrong(join_found(df, sound, keys, area), target, FILL, market_is_airport(end))
     return df
 
 
@@ -296,17 +315,17 @@ def ended_carriers(history: DataFrame, before: str = fv.INACTIVE_BEFORE) -> Data
     )
 
 
-def use_ended_carriers(df: DataFrame, ended: DataFrame, area: StagingArea, **options) -> DataFrame:
-    pair = F.coalesce("AirlineID", F.lit(0))
-    joined = attach(
-        df.withColumn("_id", pair), ended.withColumnRenamed("AirlineID", "_id"),
-        ["_id", "UniqueCarrier"], area, name="ended-carriers", **options,
-    )
-    return flag_where(joined, "IsActive", F.col("_ended"), 0, 1).drop("_id", "_ended")
+def use_ended_carriers(df: DataFrame, ended: DataFrame, area: StagingArea) -> DataFrame:
+    joined = attach(df, ended, ["AirlineID", "UniqueCarrier"], area, name="ended-carriers")
+    return flag_where(joined, "IsActive", F.col("_ended"), 0, 1).drop("_ended")
 
 
 def r16_inactive(df: DataFrame, history: DataFrame, area: StagingArea) -> DataFrame:
-    return use_ended_carriers(df, ended_carriers(history), area)
+    """IsActive 0 for ended carriers; a missing id counts as 0."""
+    raw_id = F.col("AirlineID")
+    looked_up = df.withColumns({"_raw": raw_id, "AirlineID": F.coalesce(raw_id, F.lit(0))})
+    marked = use_ended_carriers(looked_up, ended_carriers(history), area)
+    return marked.withColumn("AirlineID", F.col("_raw")).drop("_raw")
 
 
 # -- R18: carrier region -------------------------------------------------------------------------
@@ -322,7 +341,5 @@ def r18_region(
 ) -> DataFrame:
     df = region_tokens_to_null(df)
     regions = first_by_key(df, ["UniqueCarrier"], "CarrierRegion", order_by=order_by)
-    return fill(
-        df, regions, ["UniqueCarrier"], "CarrierRegion", F.col("CarrierRegion").isNull(), area,
-        F.lit(fv.UNKNOWN_REGION),
-    )
+    joined = join_found(df, regions, ["UniqueCarrier"], area)
+    return fill_missing(joined, "CarrierRegion", FILL, F.lit(fv.UNKNOWN_REGION))
