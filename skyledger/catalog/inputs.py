@@ -145,9 +145,21 @@ _COPIES_SPARK = " LATERAL VIEW explode(sequence(1, CASE WHEN ok % 101 = 0 THEN 2
 _COPIES_ORACLE = ", (VALUES (1), (2)) c(copy) WHERE copy = 1 OR ok % 101 = 0"
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the files have fewer splits than there are cores.
+
+    A small file is often one row group, which only one task can read. Large
+    inputs have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     names = ("lineitem", "orders", "supplier", "customer")
     used = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names if "{%s}" % n in text}
+    if "lineitem" in used:
+        used["lineitem"] = _spread(used["lineitem"])
     return spark.sql(text, **used)
 
 
