@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.staging import StagingArea
@@ -61,7 +62,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         n = batch.num_rows
         if not n:
             continue
-        sizes = [len(b or b"") for b in batch.column(column).cast(pa.binary()).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             held += size

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import exactdedup, linewindows, mixing, simhash
+from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup
 from skyledger.llm.common import area, table
 
 
@@ -16,6 +16,10 @@ def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.suffix_dedup(table(spark, sf_dir, "documents"), area(spark)).drop("kept")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), area(spark))
 
@@ -28,8 +32,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(table(spark, sf_dir, "documents"), area(spark))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.Vocabulary.from_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_line_windows, op7_mixing, op8_simhash, op9_exact_dedup)
+    q.__name__: q
+    for q in (op2_line_windows, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup, op10_pieces)
 }
 
 ORACLES: dict[str, str] = {
