@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup
+from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup, toxicity
 from skyledger.llm.common import area, table
 
 
@@ -16,6 +16,11 @@ def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, labels, area(spark))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.suffix_dedup(table(spark, sf_dir, "documents"), area(spark)).drop("kept")
 
@@ -38,7 +43,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
-    for q in (op2_line_windows, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup, op10_pieces)
+    for q in (op2_line_windows, op3_toxicity, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup, op10_pieces)
 }
 
 ORACLES: dict[str, str] = {
