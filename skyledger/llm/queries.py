@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup, toxicity
+from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup, toxicity, winnowing
 from skyledger.llm.common import area, table
 
 
@@ -21,6 +21,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, labels, area(spark))
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.document_fingerprints(table(spark, sf_dir, "documents"), area(spark))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.suffix_dedup(table(spark, sf_dir, "documents"), area(spark)).drop("kept")
 
@@ -43,7 +47,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
-    for q in (op2_line_windows, op3_toxicity, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup, op10_pieces)
+    for q in (
+        op2_line_windows, op3_toxicity, op4_winnowing, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup,
+        op10_pieces,
+    )
 }
 
 ORACLES: dict[str, str] = {
