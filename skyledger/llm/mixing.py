@@ -123,21 +123,26 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(copies=copies, quota=quota)[["source", "source_size", "target", "size", "copies", "quota"]]
 
 
+def _seeded(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+
+
 def _bucket(h: Column) -> Column:
     return F.pmod(h, F.lit(_BUCKETS)).cast("int")
 
 
 def mix_plan(docs: DataFrame, area: StagingArea, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, place, size, source, source_size, target, copies.
+    """One row per document: doc_id, source, h, place, size, source_size, target, copies.
 
-    ``place`` is the row's place in the scan of ``docs``; ``copies`` how often the mix has it.
+    ``h`` is the seeded hash of the document, ``place`` tells repeated rows apart,
+    ``copies`` says how often the mix has the document.
     """
     rows = area.table(
         docs.select(
             "doc_id",
             "source",
             word_count(whole_text()).alias("size"),
-            F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("h"),
+            _seeded(seed).alias("h"),
             row_place().alias("place"),
         ),
         "sizes",
@@ -179,7 +184,7 @@ def mix_plan(docs: DataFrame, area: StagingArea, seed: int = SEED) -> DataFrame:
             & (F.col("bucket") == F.col("_bucket")),
         )
         .select(
-            "doc_id", "place", "size", "source", "source_size", "target",
+            "doc_id", "source", "h", "place", "size", "source_size", "target",
             (F.col("copies") + (F.col("turn") <= F.col("left")).cast("int")).alias("copies"),
         )
     )
@@ -190,3 +195,26 @@ def mix_sources(docs: DataFrame, area: StagingArea, seed: int = SEED) -> DataFra
     return mix_plan(docs, area, seed).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+def mixed(docs: DataFrame, area: StagingArea, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix has them: rows repeated, or left out, as often as planned."""
+    among = lambda order: F.row_number().over(
+        Window.partitionBy("doc_id", "source", "h").orderBy(order)
+    )
+    plan = mix_plan(docs, area, seed).withColumn("among", among("place")).where("copies > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_h"),
+        F.col("among").alias("_among"), "copies",
+    )
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", _seeded(seed).alias("h")).withColumn(
+        "among", among(F.lit(1))
+    )
+    return (
+        rows.join(
+            plan,
+            F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+            & (F.col("h") == F.col("_h")) & (F.col("among") == F.col("_among")),
+        )
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
+        .select("row.*")
+    )

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import exactdedup, linewindows, mixing, pieces, simhash, suffixdedup, toxicity, winnowing
+from skyledger.llm import exactdedup, language, linewindows, mixing, pieces, preference, simhash, suffixdedup, toxicity, winnowing
 from skyledger.llm.common import area, table
 
 
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.answers_of_neighbours(table(spark, sf_dir, "conversations"))
+    return preference.format_preferences(pairs).withColumns({
+        c: preference.mask_string(F.col(c)) for c in ("chosen_mask", "rejected_mask")
+    })
+
+
 def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linewindows.line_dedup(table(spark, sf_dir, "documents"), area(spark)).select(
         F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed", "n_spans"
@@ -25,6 +32,11 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.document_fingerprints(table(spark, sf_dir, "documents"), area(spark))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    return language.page_languages(pages, docs, area(spark))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.suffix_dedup(table(spark, sf_dir, "documents"), area(spark)).drop("kept")
 
@@ -48,31 +60,68 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
-        op2_line_windows, op3_toxicity, op4_winnowing, op6_suffix_dedup, op7_mixing, op8_simhash, op9_exact_dedup,
-        op10_pieces,
+        op1_preferences, op2_line_windows, op3_toxicity, op4_winnowing, op5_language, op6_suffix_dedup, op7_mixing,
+        op8_simhash, op9_exact_dedup, op10_pieces,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op1_preferences": """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM turns
+), last AS (
+  SELECT conv_id, max(k) FILTER (WHERE role = 'assistant') AS last FROM own GROUP BY conv_id
+), sides AS (
+  SELECT conv_id, 'chosen' AS side, k, role, text FROM own
+  UNION ALL
+  SELECT o.conv_id, 'rejected', o.k, o.role, o.text FROM own o JOIN last l USING (conv_id)
+  WHERE l.last IS NULL OR o.k < l.last
+  UNION ALL
+  SELECT l.conv_id, 'rejected', l.last, o.role, o.text
+  FROM last l JOIN last p ON p.conv_id = xor(l.conv_id, 1) JOIN own o ON o.conv_id = p.conv_id AND o.k = p.last
+  WHERE l.last IS NOT NULL
+), compared AS (
+  SELECT conv_id, k, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same FROM sides GROUP BY conv_id, k
+), prefix AS (
+  SELECT conv_id, coalesce(min(k) FILTER (WHERE NOT same) - 1, max(k)) AS n FROM compared GROUP BY conv_id
+), parts AS (
+  SELECT s.conv_id, s.side, s.k, s.role, p.n, s.k <= p.n AS shared,
+    '<|' || s.role || '|>' || chr(10) AS header, s.text || '<|end|>' || chr(10) AS body
+  FROM sides s JOIN prefix p USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(header) + length(body)) OVER (PARTITION BY conv_id, side, shared ORDER BY k) AS stop FROM parts
+)
+SELECT conv_id AS pair_id, n AS n_prompt_turns,
+  coalesce(string_agg(header || body, '' ORDER BY k) FILTER (WHERE shared AND side = 'chosen'), '') AS prompt,
+  coalesce(string_agg(header || body, '' ORDER BY k) FILTER (WHERE NOT shared AND side = 'chosen'), '') AS chosen,
+  coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY k)
+    FILTER (WHERE NOT shared AND side = 'chosen' AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(header || body, '' ORDER BY k) FILTER (WHERE NOT shared AND side = 'rejected'), '') AS rejected,
+  coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY k)
+    FILTER (WHERE NOT shared AND side = 'rejected' AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id, n
+""",
     "op2_line_windows": """
 WITH texts AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), line AS (
-  SELECT doc_id, len(lines) AS n, unnest(range(0, len(lines))) AS at, unnest(lines) AS line FROM texts
+  SELECT doc_id, len(lines) AS n, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM texts
 ), windows AS (
-  SELECT doc_id, unnest(range(0, len(lines) - 2)) AS at, lines FROM texts WHERE len(lines) > 2
+  SELECT doc_id, unnest(range(0, len(lines) - 2)) AS pos, lines FROM texts WHERE len(lines) > 2
 ), placed AS (
-  SELECT doc_id, at, row_number() OVER (
-    PARTITION BY lines[at + 1] || chr(10) || lines[at + 2] || chr(10) || lines[at + 3] ORDER BY doc_id, at) AS turn
+  SELECT doc_id, pos, row_number() OVER (
+    PARTITION BY lines[pos + 1] || chr(10) || lines[pos + 2] || chr(10) || lines[pos + 3] ORDER BY doc_id, pos) AS turn
   FROM windows
 ), covered AS (
-  SELECT DISTINCT doc_id, at + k AS at FROM placed, (VALUES (0), (1), (2)) AS v(k) WHERE turn > 1
+  SELECT DISTINCT doc_id, pos + k AS pos FROM placed, (VALUES (0), (1), (2)) AS v(k) WHERE turn > 1
 ), marked AS (
-  SELECT l.doc_id, l.n, l.at, l.line, c.at IS NOT NULL AS gone,
-    coalesce(lag(c.at IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.at), false) AS gone_before
-  FROM line l LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.at = l.at
+  SELECT l.doc_id, l.n, l.pos, l.line, c.pos IS NOT NULL AS gone,
+    coalesce(lag(c.pos IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.pos), false) AS gone_before
+  FROM line l LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.pos = l.pos
 )
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text,
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
   any_value(n) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   count(*) FILTER (WHERE gone AND NOT gone_before) AS n_spans
 FROM marked GROUP BY doc_id
