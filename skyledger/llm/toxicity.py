@@ -36,7 +36,7 @@ from skyledger.llm.common import sliced, whole_text
 from skyledger.staging import StagingArea
 
 #: Most labelled documents of each class that the machine is fitted on.
-FIT_ROWS = 6000
+FIT_ROWS = 4000
 #: Landmark words that tell the classes apart, and frequent ones.
 LANDMARKS = (224, 32)
 #: Scores from here on reject a document.
@@ -268,13 +268,14 @@ def landmark_words(sample: DataFrame, many: tuple[int, int] = LANDMARKS) -> list
     return list(dict.fromkeys(r["word"] for r in (*telling, *frequent)))
 
 
-def _bags(kernel: WordKernel, telling: int, most: int = 4):
+def _bags(kernel: WordKernel, telling: int, most: int = 3):
     """Landmark features of each document's sentences that look most telling, and of its first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, bag = len(kernel.landmarks), 0
         for batch in sliced(batches, "text"):
-            out: list[tuple[int, int, float, list[float]]] = []
+            out: list[tuple[int, int, float]] = []
+            values: list[np.ndarray] = []
             for text, toxic, weight in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "weight"))):
                 split = sentences(text)
                 words = list(set().union(*split))
@@ -285,11 +286,12 @@ def _bags(kernel: WordKernel, telling: int, most: int = 4):
                 look = like[:, :telling].max(axis=1, initial=0)
                 rank = sorted(range(len(split)), key=lambda i: -sum(look[number[w]] for w in split[i]))
                 for i in dict.fromkeys([*rank[:most], *range(min(1, len(split)))]):
-                    out.append((bag, toxic, weight, like[[number[w] for w in split[i]]].sum(axis=0).tolist()))
+                    out.append((bag, toxic, weight))
+                    values.append(like[[number[w] for w in split[i]]].sum(axis=0, keepdims=True).astype(np.float32))
                 bag += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                 pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.list_(pa.float32()))],
+                 pa.array([o[2] for o in out], pa.float64()), pa.array([v.tobytes() for v in values], pa.binary())],
                 ["bag", "toxic", "weight", "like"],
             )
 
@@ -320,14 +322,15 @@ def fit(docs: DataFrame, labels: DataFrame, area: StagingArea, rows: int = FIT_R
         return nothing
     kernel = WordKernel(landmarks)
     bags = sample.repartition(32).mapInArrow(
-        _bags(kernel, min(LANDMARKS[0], len(landmarks))), "bag long, toxic int, weight double, like array<float>"
-    ).withColumn("bag", F.concat_ws("-", F.spark_partition_id(), "bag")).toPandas()
+        _bags(kernel, min(LANDMARKS[0], len(landmarks))), "bag long, toxic int, weight double, like binary"
+    ).withColumn("bag", F.concat_ws("-", F.spark_partition_id(), "bag")).toArrow().to_pandas()
     y = np.where(bags["toxic"] > 0, 1.0, -1.0)
     if len(set(y)) < 2:
         return nothing
     values, vectors = np.linalg.eigh(kernel(landmarks) + 1e-3 * np.eye(len(landmarks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    x = np.c_[np.array(bags["like"].tolist(), float) @ root, np.ones(len(bags))]
+    like = np.frombuffer(b"".join(bags.pop("like")), np.float32).reshape(len(bags), -1)
+    x = np.c_[like @ root, np.ones(len(bags))]
     bag = bags["bag"].astype("category").cat.codes.to_numpy()
     cost, chosen = bags["weight"].to_numpy(), np.ones(len(bags), bool)
     balance = np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0)
