@@ -75,7 +75,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, exact: int
     total = sum(lengths * counts)
     if budget >= total or not total:
         return counts.astype(np.int64)
-    taken = counts * budget // total
+    taken = np.maximum(counts * budget // total - 1, 0)  # one of each is left to fit with
     left = budget - sum(lengths * taken)
     for i in np.argsort(-lengths.astype(np.int64), kind="stable"):
         if left <= exact:
