@@ -109,7 +109,7 @@ def _write_csv(df: DataFrame, path: str) -> str:
 @query
 def scan_fact_csv(s: Source) -> DataFrame:
     path = _write_csv(s.segments.drop("row_id"), s.area.path("fact-csv"))
-    return files.scan_fact_csv(s.spark, path, stamp_order=False)
+    return files.scan_fact_csv(s.spark, path)
 
 
 @query
@@ -117,7 +117,7 @@ def scan_lookup_csv(s: Source) -> DataFrame:
     folder = s.area.path("lookups")
     _write_csv(s.lookup("airports").drop("row_id"), f"{folder}/l_strport.csv")
     _write_csv(s.lookup("history").drop("row_id"), f"{folder}/l_carrier_history.csv")
-    found = files.scan_lookups(s.spark, folder)
+    found = files.scan_lookups(s.spark, folder, area=s.area)
     assert set(found) == {"stg_airports", "stg_carrier_history"}
     history = found["stg_carrier_history"].select(
         F.lit("stg_carrier_history").alias("tabla"),

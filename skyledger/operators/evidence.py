@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.functions.numbers import holds
 from skyledger.operators.joins import attach
@@ -72,7 +72,8 @@ def gather(
             F.coalesce(F.sum("_weight"), F.lit(0)).alias("_w"),
         )
     )
-    smallest = (F.col("value").try_cast("bigint"), F.col("value"))
+    numbers = [s.name for s in specs if not isinstance(df.schema[s.value].dataType, T.StringType)]
+    smallest = (F.when(F.col("name").isin(numbers), F.col("value").try_cast("bigint")), F.col("value"))
     return pairs.groupBy("name", "key1", "key2").agg(
         F.min_by("value", F.struct("_seen", *smallest)).alias("first"),
         F.min_by("value", F.struct(-F.col("_n"), *smallest)).alias("mode"),

@@ -45,8 +45,7 @@ def rule_counts(run: CleanRun, area: StagingArea) -> DataFrame:
     true = F.lit(True)
     bad = ~r.valid_distance()
     imputed = run.deduped.where(bad).join(
-        F.broadcast(run.routes.select(*r.ENDS)) if run.routes.count() <= 500_000 else run.routes.select(*r.ENDS),
-        list(r.ENDS), "left_semi",
+        run.routes.select(*r.ENDS), list(r.ENDS), "left_semi",
     )
     bad_rows = counts(run.deduped, R07__invalid=bad)
     filled = tall(imputed.agg(F.count("*").alias("R07__imputed")))

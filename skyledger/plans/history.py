@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,6 +23,21 @@ def _differs(attributes: Sequence[str]) -> Column:
     return out
 
 
+def one_per_key(feed: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """The last row of every key by ``order_by``, then by the remaining columns (missing values first).
+
+    Feeds may name a key several times; everything below works on one row per key.
+    """
+    rest = [c for c in feed.columns if c not in key]
+    order = [c for c in order_by if c in rest] + [c for c in rest if c not in order_by]
+    if not order:
+        return feed.distinct()
+    last = F.max(F.struct(*order)).alias("_last")
+    return feed.groupBy(*key).agg(last).select(
+        *[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in feed.columns]
+    )
+
+
 def _paired(
     old: DataFrame, new: DataFrame, key: Sequence[str], how: str
 ) -> DataFrame:
@@ -36,6 +52,7 @@ def change_detect(
     old: DataFrame, new: DataFrame, key: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """Every key with its state: ``new``, ``changed``, ``unchanged`` or ``absent``."""
+    new = one_per_key(new, key, attributes)
     state = (
         F.when(F.col("old._in_old").isNull(), "new")
         .when(F.col("new._in_new").isNull(), "absent")
@@ -48,6 +65,7 @@ def change_detect(
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """New rows replace old rows of the same key; other old rows stay."""
+    new = one_per_key(new, key)
     kept = old.join(new.select(*key), list(key), "left_anti").select(old.columns)
     return kept.unionByName(new)
 
@@ -57,6 +75,7 @@ def scd1(
     surrogate: str, area: StagingArea,
 ) -> DataFrame:
     """Overwrite attributes in place; unseen members get the next keys."""
+    new = one_per_key(new.select(*natural, *attributes), natural)
     joined = _paired(current, new, natural, "left")
     updated = joined.select(
         *[
@@ -78,7 +97,11 @@ def scd2(
     current: DataFrame, new: DataFrame, natural: Sequence[str], attributes: Sequence[str],
     surrogate: str, load_date, area: StagingArea,
 ) -> DataFrame:
-    """Versions: a changed member's active row is closed and a new active row is added."""
+    """Versions: a changed member's active row is closed and a new active row is added.
+
+    A version never ends before it began: one that began on the load's own day ends on it.
+    """
+    new = one_per_key(new.select(*natural, *attributes), natural)
     day = F.lit(str(load_date)).cast("date")
     active = current.where("Fila_Activa")
     changed = area.table(
@@ -92,7 +115,9 @@ def scd2(
     closed = F.col("_closed") & F.col("Fila_Activa")
     history = attach(current, closing, natural, area, name="closing").withColumns(
         {
-            "Fecha_Fin": F.when(closed, F.date_sub(day, 1)).otherwise(F.col("Fecha_Fin")),
+            "Fecha_Fin": F.when(
+                closed, F.greatest(F.date_sub(day, 1), F.col("Fecha_Inicio"))
+            ).otherwise(F.col("Fecha_Fin")),
             "Fila_Activa": F.col("Fila_Activa") & F.col("_closed").isNull(),
         }
     )
@@ -106,6 +131,7 @@ def scd3(
     current: DataFrame, new: DataFrame, natural: Sequence[str], attribute: str
 ) -> DataFrame:
     """The attribute's value before the last change in ``<attribute>_anterior``."""
+    new = one_per_key(new.select(*natural, attribute), natural)
     before = f"{attribute}_anterior"
     changed = F.col("new._in_new") & _differs([attribute])
     old_value = F.col(f"old.{before}") if before in current.columns else F.lit(None).cast("string")
@@ -154,16 +180,37 @@ def reject_log(fact: DataFrame, table: str = "Vuelo") -> DataFrame:
 # -- increments -------------------------------------------------------------------------
 
 
-def add_members(
+def new_members(
     dim: DataFrame, members: DataFrame, table: str, load_date, area: StagingArea
 ) -> DataFrame:
-    """Known members keep their keys; unseen ones get the keys after the largest."""
+    """Members that the dimension has not seen, with the keys after its largest; null matches null."""
     natural, surrogate = list(star.NATURAL_KEYS[table]), f"{table}Key"
-    unseen = members.join(dim.select(*natural), natural, "left_anti")
+    known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural])
+    unseen = members.join(known, same, "left_anti")
     added = dense_key(unseen, surrogate, natural, area, largest_key(dim, surrogate) + 1)
     if "Fecha_Inicio" in dim.columns:
         added = added.withColumns(star.since(load_date))
-    return dim.unionByName(added.select(dim.columns))
+    return added.select(dim.columns)
+
+
+def add_members(
+    dim: DataFrame, members: DataFrame, table: str, load_date, area: StagingArea
+) -> DataFrame:
+    """Known members keep their keys; unseen ones get the keys after the largest."""
+    return dim.unionByName(new_members(dim, members, table, load_date, area))
+
+
+def members_of(clean: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "Tiempo": star.tiempo_members(clean),
+        "Transportista": star.transportista_members(clean),
+        "Aeropuerto": star.aeropuerto_members(clean),
+    }
+
+
+def active(dim: DataFrame) -> DataFrame:
+    return dim.where("Fila_Activa") if "Fila_Activa" in dim.columns else dim
 
 
 def incremental_load(
@@ -174,25 +221,41 @@ def incremental_load(
     Reads only the batch, the small dimensions and the largest fact key.
     """
     delta = area.table(clean_delta, "delta")
-    members = {
-        "Tiempo": star.tiempo_members(delta),
-        "Transportista": star.transportista_members(delta),
-        "Aeropuerto": star.aeropuerto_members(delta),
-    }
     out = {
         name: area.table(add_members(tables[name], rows, name, load_date, area), f"dim-{name}")
-        for name, rows in members.items()
-    }
-    active = {
-        name: dim.where("Fila_Activa") if "Fila_Activa" in dim.columns else dim
-        for name, dim in out.items()
+        for name, rows in members_of(delta).items()
     }
     facts = star.fact_vuelo(
-        star.resolve_keys(delta, active, area), area, largest_key(tables["Vuelo"], "VueloKey") + 1
+        star.resolve_keys(delta, {n: active(d) for n, d in out.items()}, area), area,
+        largest_key(tables["Vuelo"], "VueloKey") + 1,
     )
     return out | {"Vuelo": facts}
 
 
+def load_log(
+    tables: Mapping[str, DataFrame], refused: DataFrame, batch: str, load_date, absent: Sequence[str] = ()
+) -> DataFrame:
+    """``load_metadata`` with the rows refused, the largest key, and the lookups that were not delivered."""
+    keys = None
+    for name, df in tables.items():
+        row = df.agg(F.max(f"{name}Key").cast("bigint").alias("clave_max")).select(
+            F.lit(name).alias("tabla"), "clave_max"
+        )
+        keys = row if keys is None else keys.unionByName(row)
+    loaded = (
+        load_metadata(tables, batch, load_date)
+        .join(refused.where(F.col("lote") == batch).groupBy("tabla").agg(F.count("*").alias("rechazadas")), "tabla", "left")
+        .join(keys, "tabla")
+        .select("lote", "tabla", "fecha_carga", "filas", F.coalesce("rechazadas", F.lit(0)).alias("rechazadas"),
+                "clave_max", F.lit("cargada").alias("estado"))
+    )
+    missing = loaded.sparkSession.createDataFrame(
+        [(batch, name, str(load_date), 0, 0, None, "ausente") for name in absent],
+        "lote string, tabla string, fecha_carga string, filas bigint, rechazadas bigint, clave_max bigint, estado string",
+    )
+    return loaded.unionByName(missing.withColumn("fecha_carga", F.col("fecha_carga").cast("date")))
+
+
 def load_metadata(tables: Mapping[str, DataFrame], batch: str, load_date) -> DataFrame:
     """(lote, tabla, fecha_carga, filas) of one load, to be appended to the load log."""
     out = None

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyledger.functions.measures import season_label
 from skyledger.operators.joins import attach
@@ -149,28 +150,29 @@ def fact_vuelo(
     ).drop(*order_by)
 
 
-def build_star(clean: DataFrame, load_date, area: StagingArea) -> dict[str, DataFrame]:
-    clean = area.table(clean, "clean")
-    dims = {
+def build_dims(clean: DataFrame, load_date, area: StagingArea) -> dict[str, DataFrame]:
+    return {
         "Tiempo": dim_tiempo(clean, area),
         "Transportista": dim_transportista(clean, load_date, area),
         "Aeropuerto": dim_aeropuerto(clean, load_date, area),
     }
-    return dims | {"Vuelo": fact_vuelo(resolve_keys(clean, dims, area), area)}
 
 
-# -- contract -------------------------------------------------------------------------------------
+def build_star(clean: DataFrame, load_date, area: StagingArea) -> dict[str, DataFrame]:
+    clean = area.table(clean, "clean")
+    dims = build_dims(clean, load_date, area)
+    return dims | {"Vuelo": fact_vuelo(resolve_keys(clean, dims, area), area)}
 
 
-def typed(table: str, df: DataFrame) -> DataFrame:
-    """Warehouse types; a value that does not fit becomes null."""
-    return df.select(*[F.col(c).try_cast(kind).alias(c) for c, kind, _ in STAR[table]])
+# -- contract -------------------------------------------------------------------------------------
 
 
 def violations(table: str) -> Column:
-    """Reasons to refuse a typed row (array, empty if none)."""
+    """Reasons to refuse a typed row (array, empty if none); ``_lost`` names values that did not fit."""
     reasons = [
-        F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c, _, required in STAR[table] if required
+        F.when(F.col(c).isNull() & ~F.array_contains("_lost", c), F.lit(f"{c} is null"))
+        for c, _, required in STAR[table]
+        if required
     ]
     reasons += [
         F.when(F.length(c) > STAR_LENGTHS[c], F.lit(f"{c} too long"))
@@ -182,7 +184,20 @@ def violations(table: str) -> Column:
             F.when(~F.col("Mes").between(1, 12), F.lit("Mes outside 1-12")),
             F.when(~F.col("Anio").between(1990, 2100), F.lit("Anio outside 1990-2100")),
         ]
-    return F.array_compact(F.array(*reasons))
+    lost = F.transform("_lost", lambda c: F.concat(c, F.lit(" does not fit")))
+    return F.concat(F.array_compact(F.array(*reasons)), lost)
+
+
+def repeated_members(table: str, dim: DataFrame) -> DataFrame:
+    """Adds a reason to members whose natural key an earlier member has; one row per member, so no key is hot."""
+    if table not in NATURAL_KEYS:
+        return dim
+    key = NATURAL_KEYS[table]
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy(f"{table}Key"))
+    again = F.array(F.lit(f"repeated {', '.join(key)}"))
+    return dim.withColumn("_turn", turn).withColumn(
+        "reasons", F.when(F.col("_turn") > 1, F.concat("reasons", again)).otherwise(F.col("reasons"))
+    ).drop("_turn")
 
 
 def dw_contract(
@@ -190,6 +205,9 @@ def dw_contract(
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected with reasons) under the table's types and checks.
 
+    A value that its type cannot hold is a reason of its own, also where the
+    column may be null.
+
     ``default_zero`` gives missing measures the warehouse default instead of
     refusing the row.
     """
@@ -197,7 +215,15 @@ def dw_contract(
         measures = [c for c, kind, required in STAR[table]
                     if required and not c.endswith("Key") and kind not in ("string", "date", "boolean")]
         df = df.withColumns({c: F.coalesce(c, F.lit(0)) for c in measures})
-    checked = typed(table, df).withColumn("reasons", violations(table))
+    fits = {c: F.col(c).try_cast(kind) for c, kind, _ in STAR[table]}
+    lost = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & fit.isNull(), F.lit(c)) for c, fit in fits.items()
+    ]))
+    checked = repeated_members(
+        table,
+        df.select(*[fit.alias(c) for c, fit in fits.items()], lost.alias("_lost"))
+        .withColumn("reasons", violations(table)).drop("_lost"),
+    )
     accepted = checked.where(F.size("reasons") == 0).drop("reasons")
     return accepted, checked.where(F.size("reasons") > 0)
 
@@ -228,18 +254,49 @@ def orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 # -- load --------------------------------------------------------------------------------------------
 
 
+REJECTS = "Rechazos"
+
+
+def rejects(table: str, rejected: DataFrame, batch: str) -> DataFrame:
+    """(lote, tabla, fila as JSON, motivos) of refused rows."""
+    columns = [c for c in rejected.columns if c != "reasons"]
+    return rejected.select(
+        F.lit(batch).alias("lote"), F.lit(table).alias("tabla"),
+        F.to_json(F.struct(*columns)).alias("fila"), F.col("reasons").alias("motivos"),
+    )
+
+
+def read_rejects(spark: SparkSession, target: str) -> DataFrame:
+    """Refused rows of all loads; there may be none."""
+    schema = "lote string, tabla string, fila string, motivos array<string>"
+    return spark.read.schema(schema).parquet(f"{target}/{REJECTS}")
+
+
 def load_dw(
-    clean: DataFrame, target: str, load_date, area: StagingArea, default_zero: bool = True
+    clean: DataFrame, target: str, load_date, area: StagingArea, default_zero: bool = True,
+    batch: str = "full", written: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write the four tables, replacing what was there; the fact is partitioned by year."""
-    star = build_star(clean, load_date, area)
-    tables = {}
-    for name in ("Tiempo", "Transportista", "Aeropuerto"):
-        accepted, _ = dw_contract(name, star[name])
+    """Write the four tables, replacing what was there; facts are foldered by load and year.
+
+    Facts are resolved against accepted members only, so a fact of a refused
+    member is refused itself. Every refused row of the four tables goes to
+    ``Rechazos`` with its reasons. Pass ``written`` if ``clean`` is a written table.
+    """
+    clean = clean if written else area.table(clean, "clean")
+    tables, refused = {}, []
+    for name, members in build_dims(clean, load_date, area).items():
+        accepted, rejected = dw_contract(name, members)
         tables[name] = stage_overwrite(accepted, target, name)
-    fact, _ = dw_contract("Vuelo", star["Vuelo"], default_zero)
-    years = tables["Tiempo"].select("TiempoKey", "Anio")
-    dated = attach(fact, years, ["TiempoKey"], area, name="years")
-    stage_overwrite(dated, target, "Vuelo", "Anio")
-    written = clean.sparkSession.read.parquet(f"{target}/Vuelo")
-    return tables | {"Vuelo": written.select(*fact.columns)}
+        refused.append(rejects(name, rejected, batch))
+    facts = fact_vuelo(resolve_keys(clean, tables, area), area)
+    accepted, rejected = dw_contract("Vuelo", facts, default_zero)
+    refused.append(rejects("Vuelo", rejected, batch))
+    stage_overwrite(with_year(accepted, tables["Tiempo"], area).withColumn("lote", F.lit(batch)),
+                    target, "Vuelo", "lote", "Anio")
+    stage_overwrite(reduce(DataFrame.unionByName, refused), target, REJECTS, "lote")
+    facts = clean.sparkSession.read.parquet(f"{target}/Vuelo")
+    return tables | {"Vuelo": facts.select(*accepted.columns)}
+
+
+def with_year(facts: DataFrame, tiempo: DataFrame, area: StagingArea) -> DataFrame:
+    return attach(facts, tiempo.select("TiempoKey", "Anio"), ["TiempoKey"], area, name="years")

@@ -16,8 +16,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settings(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """Adaptive plans (skew splits, partition sizes chosen at run time) and UTC dates."""
+#: Bytes of input that one shuffle partition should get before adaptive merging.
+PARTITION_BYTES = 192 << 20
+
+
+def settings(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+    """Adaptive plans (skew splits, partition sizes chosen at run time) and UTC dates.
+
+    Adaptive execution only merges partitions, so a job over a large input has to
+    start with enough of them: give ``input_bytes``.
+    """
+    if input_bytes:
+        first = max(200, -(-input_bytes // PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(first))
     return (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skyledger import fixed_values as fv
 from skyledger.functions.text import strip
 from skyledger.sources.files import scan_fact_csv, scan_lookups
+from skyledger.staging import StagingArea
 
 
 def stage_overwrite(df: DataFrame, folder: str, table: str, *partition_by: str) -> DataFrame:
@@ -29,13 +30,13 @@ def scan_table(
     return scan if like is None else scan.select(*like.columns)
 
 
-def extract(spark: SparkSession, source: str, staging: str) -> dict[str, DataFrame]:
+def extract(spark: SparkSession, source: str, staging: str, area: StagingArea) -> dict[str, DataFrame]:
     """Files -> staging tables: the lookups that are there, then the fact."""
     tables = {
         name: stage_overwrite(lookup, staging, name)
-        for name, lookup in scan_lookups(spark, source).items()
+        for name, lookup in scan_lookups(spark, source, area=area).items()
     }
-    fact = scan_fact_csv(spark, f"{source}/{fv.FACT_FILE}")
+    fact = scan_fact_csv(spark, f"{source}/{fv.FACT_FILE}", area)
     return tables | {fv.FACT_TABLE: stage_overwrite(fact, staging, fv.FACT_TABLE)}
 
 

@@ -7,6 +7,8 @@ session without that setting gets a folder of its own.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import itertools
 import tempfile
 import uuid
@@ -14,6 +16,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_OPEN: set[StagingArea] = set()
+
+
+@atexit.register
+def release_all() -> None:
+    """Delete the folders of all runs whose results can no longer be read: at the end of the program."""
+    for area in list(_OPEN):
+        with contextlib.suppress(Exception):  # the session may have ended first
+            area.release()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +46,7 @@ class StagingArea:
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/skyledger-{uuid.uuid4().hex}"
         self._number = itertools.count()
+        _OPEN.add(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{next(self._number):03d}-{name}"
@@ -49,6 +61,7 @@ class StagingArea:
         """Delete the folder once nothing reads from it any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _OPEN.discard(self)
 
     def __enter__(self) -> "StagingArea":
         return self

@@ -1,10 +1,15 @@
 """From CSV files to the star, twice."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from skyledger import fixed_values as fv
 from skyledger.catalog import inputs
 from skyledger.catalog.queries import _write_csv
-from skyledger.plans import etl
+from skyledger.plans import etl, history, star
+from skyledger.plans.clean import clean
 from skyledger.schemas import STAR
+from skyledger.streaming import increments
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,8 +21,60 @@ def test_whole_run_is_repeatable(spark, area):
     first = {r.tabla: r.filas for r in etl.run(spark, source, staging, target, "2024-01-15").collect()}
     facts = spark.read.parquet(f"{target}/Vuelo")
     assert first["Vuelo"] == facts.count() == spark.read.parquet(f"{staging}/{fv.CLEAN_TABLE}").count()
-    assert set(facts.columns) == {c for c, _, _ in STAR["Vuelo"]} | {"Anio"}
+    assert set(facts.columns) == {c for c, _, _ in STAR["Vuelo"]} | {"Anio", "lote"}
     before = area.table(facts, "before")
     second = {r.tabla: r.filas for r in etl.run(spark, source, staging, target, "2024-01-15").collect()}
     assert second == first
     assert spark.read.parquet(f"{target}/Vuelo").exceptAll(before).count() == 0
+
+
+def test_full_run_then_increments(spark, area):
+    """Increments on the warehouse that the run wrote: CSV files, a replay, and a failure before the facts."""
+    source, staging, target, inbox = (area.path(n) for n in ("source", "staging", "dw", "inbox"))
+    raw = inputs.segments(spark, SF)
+    raw = raw.withColumn("Month", F.when(F.col("row_id") % 40 == 3, 13).otherwise(F.col("Month")))
+    _write_csv(raw.where("Year < 1998").drop("row_id"), f"{source}/{fv.FACT_FILE}")
+    _write_csv(inputs.lookup(spark, SF, "airports").drop("row_id"), f"{source}/l_strport.csv")
+    log = etl.run(spark, source, staging, target, "2024-01-15").collect()
+    loaded = {r.tabla: r for r in log if r.estado == "cargada"}
+    assert "stg_carrier_history" in {r.tabla for r in log if r.estado == "ausente"}
+    cleaned = spark.read.parquet(f"{staging}/{fv.CLEAN_TABLE}").count()
+    assert loaded["Vuelo"].rechazadas > 0 and loaded["Vuelo"].filas + loaded["Vuelo"].rechazadas == cleaned
+    assert loaded["Tiempo"].rechazadas > 0
+    reasons = {m for r in star.read_rejects(spark, target).collect() for m in r.motivos}
+    assert {"Mes outside 1-12", "TiempoKey is null"} <= reasons
+
+    def warehouse():
+        dims = {t: spark.read.parquet(f"{target}/{t}") for t in increments.DIMENSIONS}
+        facts = spark.read.parquet(f"{target}/Vuelo")
+        assert star.orphans(facts, dims).count() == 0
+        for table, key in star.NATURAL_KEYS.items():
+            assert star.duplicate_keys(dims[table], *key).count() == 0
+        n = facts.count()
+        assert facts.agg(F.count_distinct("VueloKey")).first()[0] == n
+        return n
+
+    first = warehouse()
+    cleaner = lambda df, a: clean(df, inputs.lookup(spark, SF, "airports"), inputs.lookup(spark, SF, "history"), a)
+    _write_csv(raw.where("Year >= 1998").drop("row_id").repartition(3), inbox)
+    whole = history.load_log
+
+    def fails(*args, **kwargs):
+        raise RuntimeError("before the log")
+
+    paths = [f.path for f in spark.read.format("binaryFile").load(inbox).select("path").collect()]
+    increments.history.load_log = fails
+    try:
+        with pytest.raises(RuntimeError):
+            increments.load_csv_files(spark, paths, "b'2", target, "2024-02-15", cleaner)
+    finally:
+        increments.history.load_log = whole
+    members = spark.read.parquet(f"{target}/Transportista").count()
+    for _ in range(2):
+        increments.load_csv_files(spark, paths, "b'2", target, "2024-02-15", cleaner)
+    assert warehouse() > first and spark.read.parquet(f"{target}/Transportista").count() == members
+    entries = spark.read.parquet(f"{target}/CargaLog").where(F.col("lote") == "b'2").collect()
+    assert len(entries) == 4
+    total = warehouse()
+    increments.start_csv(spark, inbox, target, area.path("progress"), "2024-03-15", cleaner).awaitTermination()
+    assert warehouse() > total

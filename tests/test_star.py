@@ -65,7 +65,7 @@ def test_csv_scan_and_missing_lookup(spark, area):
     os.makedirs(folder)
     with open(f"{folder}/l_strport.csv", "w", encoding="utf-8") as f:
         f.write('Code,Description\nATL,"Atlanta, GA: The ""Big"" One"\nNA,None\nX, \n')
-    found = files.scan_lookups(spark, folder)
+    found = files.scan_lookups(spark, folder, area=area)
     assert list(found) == ["stg_airports"]
     assert [tuple(r) for r in found["stg_airports"].orderBy("row_id").select("Code", "Description").collect()] == [
         ("ATL", 'Atlanta, GA: The "Big" One'), (None, None), ("X", " ")]
@@ -74,10 +74,9 @@ def test_csv_scan_and_missing_lookup(spark, area):
 def test_stream_increments_load_once(spark, area):
     raw = inputs.segments(spark, SF)
     target, inbox, progress = area.path("dw"), area.path("inbox"), area.path("progress")
-    first = star.build_star(cleaner(spark)(raw.where("Year < 1998"), area), "2024-01-15", area)
-    for name in increments.DIMENSIONS:
-        tables.stage_overwrite(first[name], target, name)
-    first["Vuelo"].write.parquet(f"{target}/Vuelo/lote=first")
+    first = star.load_dw(cleaner(spark)(raw.where("Year < 1998"), area), target, "2024-01-15", area)
+    log = h.load_log(first, star.read_rejects(spark, target), "full", "2024-01-15")
+    tables.stage_overwrite(log, target, increments.LOG)
     n = first["Vuelo"].count()
 
     raw.where("Year >= 1998").write.parquet(inbox)
@@ -87,8 +86,73 @@ def test_stream_increments_load_once(spark, area):
     total = facts.count()
     assert total > n
     assert facts.agg(F.max("VueloKey"), F.count_distinct("VueloKey")).first()[:] == (total, total)
-    assert spark.read.parquet(f"{target}/{increments.LOG}").count() == 4
+    assert spark.read.parquet(f"{target}/{increments.LOG}").count() == 8
     increments.load_batch(raw.where("Year >= 1998"), "stream-0", target, "2024-02-15", cleaner(spark))
     assert spark.read.parquet(f"{target}/Vuelo").count() == total
     dims = {t: spark.read.parquet(f"{target}/{t}") for t in increments.DIMENSIONS}
     assert star.orphans(facts, dims).count() == 0
+
+
+def test_contract_tells_overflow_from_missing(spark):
+    df = spark.createDataFrame([(1, 25.0, "S"), (2, None, "S"), (3, 0.5, None)], "VueloKey long, OcupPasajeros double, tipoServicio string")
+    required = [c for c, _, need in star.STAR["Vuelo"] if need and c not in df.columns]
+    df = df.withColumns({c: F.lit(1) for c in required}).withColumn("OcupCarga", F.lit(0.1))
+    accepted, rejected = star.dw_contract("Vuelo", df)
+    assert [r.VueloKey for r in accepted.collect()] == [2]
+    assert {r.VueloKey: r.reasons for r in rejected.collect()} == {1: ["OcupPasajeros does not fit"], 3: ["tipoServicio is null"]}
+
+
+def test_repeated_members_are_refused(spark):
+    dim = spark.createDataFrame([(1, 5, "Verano", 2000), (2, 5, "Otro", 2000), (3, 6, "Verano", 2000)], "TiempoKey int, Mes int, Estacion string, Anio int")
+    accepted, rejected = star.dw_contract("Tiempo", dim)
+    assert sorted(r.TiempoKey for r in accepted.collect()) == [1, 3]
+    assert [r.reasons for r in rejected.collect()] == [["repeated Anio, Mes"]]
+
+
+def test_feeds_with_repeated_keys(spark, area):
+    current = spark.createDataFrame(
+        [(1, "A", "g1", "r", date(2024, 2, 15), None, True)],
+        "TransportistaKey int, CarrierNombre string, CarrierGrupo string, Region string, Fecha_Inicio date, Fecha_Fin date, Fila_Activa boolean")
+    feed = spark.createDataFrame([("A", "g2", "r"), ("A", "g3", "a"), ("B", None, "r"), ("B", "x", None)],
+                                 "CarrierNombre string, CarrierGrupo string, Region string")
+    key, attributes = ["CarrierNombre"], ["CarrierGrupo", "Region"]
+    last = {"A": ("g3", "a"), "B": ("x", None)}
+    assert {r[0]: (r[1], r[2]) for r in h.one_per_key(feed, key).collect()} == last
+    assert sorted(map(tuple, h.change_detect(current, feed, key, attributes).collect())) == [("A", "changed"), ("B", "new")]
+    assert sorted(r.CarrierNombre for r in h.upsert(feed.limit(0), feed, key).collect()) == ["A", "B"]
+    plain = current.select("TransportistaKey", *key, *attributes)
+    assert {tuple(r) for r in h.scd1(plain, feed, key, attributes, "TransportistaKey", area).collect()} == {(1, "A", "g3", "a"), (2, "B", "x", None)}
+    after = h.scd2(current, feed, key, attributes, "TransportistaKey", "2024-02-15", area).collect()
+    assert sorted((r.CarrierNombre, r.CarrierGrupo, r.Fecha_Fin, r.Fila_Activa) for r in after if r.CarrierNombre == "A") == [
+        ("A", "g1", date(2024, 2, 15), False), ("A", "g3", None, True)]
+    assert len(after) == 3
+    assert [r.CarrierGrupo_anterior for r in h.scd3(plain, feed, key, "CarrierGrupo").collect()] == ["g1"]
+
+
+def test_null_members_are_added_once(spark, area):
+    dim = spark.createDataFrame([(1, None, None, None)], "AeropuertoKey int, Nombre string, Ciudad string, Pais string")
+    members = spark.createDataFrame([(None, None, None), ("X", None, None)], "Nombre string, Ciudad string, Pais string")
+    assert sorted(map(tuple, h.add_members(dim, members, "Aeropuerto", "2024-01-15", area).collect()), key=str) == [
+        (1, None, None, None), (2, "X", None, None)]
+
+
+def test_rows_keep_the_order_of_their_files(spark, area):
+    import os
+
+    folder = area.path("csv").removeprefix("file:")
+    os.makedirs(folder)
+    expected = []
+    for name, rows in (("part-a", 3), ("part-b", 4000), ("part-c", 40), ("part-d", 900)):
+        lines = [f"{name}-{i},{'x' * (i % 60)}" for i in range(rows)]
+        expected += [line.split(",")[0] for line in lines]
+        with open(f"{folder}/{name}.csv", "w", encoding="utf-8") as f:
+            f.write("\n".join(["Code,Description", *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "16384", "40000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = area.table(files.scan_lookup_csv(spark, folder, area), "read")
+            assert [r.Code for r in read.orderBy("row_id").collect()] == expected
+            assert read.select("row_id").distinct().count() == len(expected)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
