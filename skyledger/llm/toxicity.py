@@ -194,16 +194,20 @@ class Reader:
         ]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps; the last column is the offset."""
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0, rows: int = 4096) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps over lots of rows; the last column is the offset."""
     w = np.zeros(x.shape[1])
     keep = np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
     for _ in range(30):
-        gap = 1 - y * (x @ w)
-        on = gap > 0
-        gradient = keep * w - x[on].T @ (cost[on] * y[on] * gap[on])
-        step = np.linalg.solve(np.diag(keep) + x[on].T @ (cost[on, None] * x[on]), gradient)
+        gradient, bend = keep * w, np.diag(keep)
+        for i in range(0, len(x), rows):
+            own, label = x[i:i + rows].astype(np.float64), y[i:i + rows]
+            gap = np.clip(1 - label * (own @ w), 0, None)
+            pull = cost[i:i + rows] * (gap > 0)
+            gradient -= own.T @ (pull * label * gap)
+            bend += own.T @ (pull[:, None] * own)
+        step = np.linalg.solve(bend, gradient)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
@@ -330,12 +334,13 @@ def fit(docs: DataFrame, labels: DataFrame, area: StagingArea, rows: int = FIT_R
     values, vectors = np.linalg.eigh(kernel(landmarks) + 1e-3 * np.eye(len(landmarks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     like = np.frombuffer(b"".join(bags.pop("like")), np.float32).reshape(len(bags), -1)
-    x = np.c_[like @ root, np.ones(len(bags))]
+    x = np.c_[like @ root.astype(np.float32), np.ones(len(bags), np.float32)]
+    del like
     bag = bags["bag"].astype("category").cat.codes.to_numpy()
     cost, chosen = bags["weight"].to_numpy(), np.ones(len(bags), bool)
     balance = np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0)
     for _ in range(4):
-        w = _svm(x[chosen], y[chosen], np.sqrt(cost * balance)[chosen])
+        w = _svm(x, y, np.sqrt(cost * balance) * chosen)
         value = x @ w
         best = np.full(bag.max() + 1, -np.inf)
         np.maximum.at(best, bag, value)
