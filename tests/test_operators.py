@@ -116,3 +116,12 @@ def test_dense_key_is_dense_ordered_and_repeatable(spark, area):
     again = dense_key(df.repartition(3), "key", ["g", "i"], area, start=10)
     assert sorted(map(str, again.collect())) == sorted(map(str, keyed.collect()))
     assert dense_key(df.limit(0), "key", ["g", "i"], area).count() == 0
+
+
+def test_mode_ties_of_digit_like_texts(spark):
+    """Texts are compared as texts, numbers as numbers, in one pass as in single passes."""
+    df = spark.createDataFrame([(1, "k", "9", 9), (2, "k", "10", 10)], "row_id long, k string, t string, n long")
+    specs = [Evidence("t", ("k",), "t", "mode"), Evidence("n", ("k",), "n", "mode")]
+    got = {r["name"]: r["mode"] for r in gather(df, specs, "n").collect()}
+    assert got == {"t": "10", "n": "9"}
+    assert found(im.mode_by_key(df, ["k"], "t")) == {"k": "10"}
