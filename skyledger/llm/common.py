@@ -56,8 +56,10 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``BATCH_BYTES`` of ``column``."""
+def sliced(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of ``column``."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -66,6 +68,6 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         start = held = 0
         for i, size in enumerate(sizes):
             held += size
-            if held >= BATCH_BYTES or i == n - 1:
+            if held >= most or i == n - 1:
                 yield batch.slice(start, i + 1 - start)
                 start, held = i + 1, 0

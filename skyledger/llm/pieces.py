@@ -36,9 +36,11 @@ MARKER = "▁"
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Segments a task remembers.
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 18
 #: Bytes of new segments encoded at a time.
-_TOGETHER = 1 << 19
+_TOGETHER = 1 << 18
+#: Bytes of texts encoded at a time.
+_LOT = 4 << 20
 _SEGMENT = re.compile(rb" *[^ \n]+|\n| +")
 _ALIGNED = re.compile(f"{MARKER}*[^{MARKER}\n ]*")
 
@@ -241,7 +243,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, decode: bool = True) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", _LOT):
             texts = [b or b"" for b in batch.column("text").cast(pa.binary()).to_pylist()]
             ids, counts = encoder.encode(texts)
             offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
