@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.llm.common import sliced, whole_text
 from skyledger.staging import StagingArea
@@ -49,7 +49,9 @@ _SPANS = [(a, a + b) for a in range(1, 6) for b in range(1, 6) if a + b <= 5]
 _WIDTH = 24
 #: Squared likeness below this counts as none.
 _FAINT = 0.08
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 19
+#: Bytes of texts scored at a time.
+_LOT = 4 << 20
 _FILTER_BITS = 18
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _SIGNS = re.compile(r"[\W_]+")
@@ -353,12 +355,15 @@ def fit(docs: DataFrame, labels: DataFrame, area: StagingArea, rows: int = FIT_R
     return model
 
 
-def _scores(model: Model, text: str, keep: list[str]):
+def _scores(model: Model, text: int):
+    """``text``: the place of the text among the row's columns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(model)
         for batch in batches:
-            out = []
-            for part in sliced(iter([batch.select([text])]), text):
+            rows, out = batch.column("row"), []
+            own = pa.RecordBatch.from_arrays([rows.field(text)], ["text"])
+            for part in sliced(iter([own]), "text", _LOT):
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 if model.kernel is None:
                     out += [0.0] * len(texts)
@@ -366,16 +371,16 @@ def _scores(model: Model, text: str, keep: list[str]):
                 read.learn(texts)
                 x = np.array([read(t) for t in texts])
                 out += (1 / (1 + np.exp(-np.clip(x @ model.curve, -30, 30)))).tolist()
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.float64())], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.float64())], ["row", "score"])
 
     return run
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """row (all columns of ``docs``) and score of every row."""
-    packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(_scores(model, "text", ["row"]), f"row {kind}, score double")
+    packed = docs.select(F.struct("*").alias("row"))
+    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
+    return packed.mapInArrow(_scores(model, docs.columns.index("text")), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, area: StagingArea) -> DataFrame:
