@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import queries
+from skyledger.catalog.oracles import oracles
+from skyledger.catalog.queries import QUERIES
 from tools.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +16,7 @@ QUICK = [
     "lk_unique_carriers", "lk_carrier_history", "dense_key", "fact_vuelo", "audit_rule_counts",
     "profile_defects", "x_scd1", "x_scd2", "x_change_detect", "x_unknown_member",
 ]
-NAMES = list(queries()) if os.environ.get("ALL_ORACLES") else QUICK
+NAMES = list(QUERIES) if os.environ.get("ALL_ORACLES") else QUICK
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracles())
 
 
 @pytest.mark.parametrize("name", NAMES)
