@@ -29,7 +29,7 @@ from skyledger.staging import StagingArea
 GRAM = 12
 WINDOW = 40
 #: Windows that start in one block.
-_BLOCK = 1000
+_BLOCK = 300
 _BLOCK_CHARS = _BLOCK + WINDOW + GRAM - 2
 #: A place inside a block fits these bits of a key.
 _PLACE = 2047
@@ -69,23 +69,25 @@ def _chosen(keys: Column) -> Column:
     def step(state: Column, _: Column) -> Column:
         last = F.element_at(state["out"], -1)
 
-        def onward(ahead: Column) -> Column:
-            smaller = F.filter(ahead, lambda k: k < last)
-            following = F.when(F.size(smaller) > 0, F.get(smaller, F.lit(0))).when(
-                F.size(ahead) == WINDOW, F.array_min(ahead)
-            )
-            return _let(
-                following,
-                lambda n: F.struct(
-                    F.when(n.isNull(), state["out"]).otherwise(F.array_append(state["out"], n)).alias("out"),
-                    n.isNull().alias("done"),
-                ),
-            )
+        def following(ahead: Column) -> Column:
+            return _let(F.array_min(ahead), lambda least: F.when(
+                least < last, F.get(F.filter(ahead, lambda k: k < last), F.lit(0))
+            ).when(F.size(ahead) == WINDOW, least))
+
+        return F.when(state["done"], state).otherwise(_let(
+            _let(F.slice(keys, _place(last) + 2, WINDOW), following),
+            lambda n: F.when(n.isNull(), F.struct(state["out"].alias("out"), F.lit(True).alias("done"))).otherwise(
+                F.struct(F.array_append(state["out"], n).alias("out"), F.lit(False).alias("done"))
+            ),
+        ))
 
-        return F.when(state["done"], state).otherwise(_let(F.slice(keys, _place(last) + 2, WINDOW), onward))
+    def walk(state: Column, steps: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), steps), state, step)
 
+    # About 2 in WINDOW + 1 are chosen; texts that need more steps than twice that go on.
     first = F.struct(F.array(F.array_min(F.slice(keys, 1, WINDOW))).alias("out"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(keys)), first, step, lambda s: s["out"])
+    usual = walk(first, (F.size(keys) * 4 / WINDOW).cast("int") + 8)
+    return _let(usual, lambda s: F.when(s["done"], s["out"]).otherwise(walk(s, F.size(keys))["out"]))
 
 
 def block_marks(block: Column, i: Column) -> Column:
