@@ -14,8 +14,14 @@ are exactly the repeated strings.
    run that is everywhere reaches its group once per batch.
 3. Grams that occur in different runs: only the first run of each kind is left,
    its bytes are fetched, and its strings are sorted by 8-byte digits.
+4. A gram with more than ``HOT_RUNS`` kinds of runs, as at the edges of a passage
+   that is everywhere, is split before that shuffle: every string of its runs
+   goes by a 128-bit hash of its bytes, so that equal strings still meet. Equal
+   strings of one batch are reduced to the first, as equal runs are.
 
-Sorted groups stream through the tasks; memory is bounded by one block of runs.
+Sorted groups stream through the tasks. Step 2 and 4 hold a batch; step 3 holds a
+block of strings and one gram, which has ``HOT_RUNS`` runs at most, besides
+repeated rows.
 
 Defined results: a missing text is empty; texts under 100 bytes keep everything.
 Order is by doc_id (missing ids last), then by a hash of the text, then by
@@ -27,9 +33,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -43,6 +51,10 @@ _PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 #: Strings sorted at a time.
 _BLOCK = 1 << 21
+#: A gram with more kinds of runs is split by whole strings.
+HOT_RUNS = 1024
+#: Hot runs whose strings are expanded at a time.
+_HOT_ROWS = 1 << 13
 
 _RUN = "sig long, content long, doc_id long, text_hash long, at long"
 _ORDER = ["no_id", "doc_id", "text_hash", "at"]
@@ -201,8 +213,39 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_sig, last_content, kinds = sig[-1], content[-1], int(min(n[ends_open], 2))
 
 
+_WANTED = "hot boolean, sig long, content long, doc_id long, text_hash long, at long, data binary"
+
+
+def _strings(runs: pa.Table) -> pa.RecordBatch:
+    """The strings of hot runs as runs of one, named by their hash; those that repeat one of the table have no content."""
+    at = runs["at"].to_numpy()
+    strings = at & 255
+    row = np.repeat(np.arange(len(at)), strings)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
+    views = [memoryview(d) for d in runs["data"].to_pylist()]
+    digest = b"".join(xxhash.xxh3_128_digest(views[r][s:s + LENGTH]) for r, s in zip(row.tolist(), step.tolist()))
+    sig, content = np.frombuffer(digest, ">u8").astype(np.uint64).reshape(-1, 2).T
+    at = ((at >> 8)[row] + step) << 8 | 1
+    doc_id, text_hash = runs["doc_id"].combine_chunks(), runs["text_hash"].to_numpy()[row]
+    no_id, plain = np.asarray(doc_id.is_null())[row], doc_id.fill_null(0).to_numpy()[row]
+    by = np.lexsort((at, text_hash, plain, no_id, content, sig))
+    kind = np.stack([sig[by], content[by]])
+    new = np.r_[True, (kind[:, 1:] != kind[:, :-1]).any(axis=0)][:len(by)]
+    first = np.empty(len(by), np.int64)
+    first[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    place = np.stack([no_id, plain, text_hash, at])
+    again = (place != place[:, first]).any(axis=0)  # a repeated row of the first is left to ``_decide``
+    spread = sig ^ (np.arange(len(sig), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    sig = np.where(again, spread, sig)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(row), bool)), pa.array(sig.view(np.int64)), pa.array(np.ascontiguousarray(content).view(np.int64), mask=again),
+         doc_id.take(pa.array(row)), pa.array(text_hash), pa.array(at), pa.nulls(len(row), pa.binary())],
+        ["hot", "sig", "content", "doc_id", "text_hash", "at", "data"],
+    )
+
+
 def _bytes_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per wanted run with its bytes."""
+    """One row per wanted run with its bytes, or per string of a hot one."""
     for batch in sliced(batches, "text"):
         wanted = batch.column("wanted")
         counts = wanted.value_lengths().to_numpy(zero_copy_only=False)
@@ -213,11 +256,15 @@ def _bytes_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         texts = texts_of(batch.column("text"))
         data = [texts[r][s:s + n] for r, s, n in zip(row.tolist(), start.tolist(), size.tolist())]
         take = pa.array(row)
-        yield pa.RecordBatch.from_arrays(
-            [flat.field("sig"), batch.column("doc_id").take(take), batch.column("text_hash").take(take),
-             flat.field("at"), pa.array(data, pa.binary())],
-            ["sig", "doc_id", "text_hash", "at", "data"],
+        runs = pa.Table.from_arrays(
+            [flat.field("hot"), flat.field("sig"), pa.nulls(len(row), pa.int64()), batch.column("doc_id").take(take),
+             batch.column("text_hash").take(take), flat.field("at"), pa.array(data, pa.binary())],
+            ["hot", "sig", "content", "doc_id", "text_hash", "at", "data"],
         )
+        yield from runs.filter(pc.invert(runs["hot"])).to_batches()
+        hot = runs.filter(runs["hot"])
+        for i in range(0, hot.num_rows, _HOT_ROWS):
+            yield _strings(hot.slice(i, _HOT_ROWS))
 
 
 def repeated_strings(data: np.ndarray, group: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -296,6 +343,31 @@ def _sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield spans(pa.Table.from_batches(held))
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of runs whose strings are all repeated."""
+    for batch in _decide(batches):
+        batch = batch.filter(batch.column("repeated"))
+        at = batch.column("at").to_numpy()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(at >> 8), pa.array((at & 255) + LENGTH - 1)],
+            ["doc_id", "text_hash", "start", "size"],
+        )
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans covered by repeated strings; rows of hot grams come after the others."""
+
+    def parts() -> Iterator[tuple[bool, pa.RecordBatch]]:
+        for batch in batches:
+            hot = batch.column("hot")
+            for flag, part in ((False, batch.filter(pc.invert(hot))), (True, batch.filter(hot))):
+                if part.num_rows:
+                    yield flag, part
+
+    for flag, own in groupby(parts(), lambda p: p[0]):
+        yield from (_repeated if flag else _sort_runs)(part for _, part in own)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each document without its spans."""
     for batch in sliced(batches, "text"):
@@ -323,6 +395,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _to_compare(texts: DataFrame, decided: DataFrame, area: StagingArea) -> DataFrame:
+    """Runs of grams that have several kinds, with their bytes; of hot grams, their strings."""
+    several = decided.where("not repeated")
+    # At most one row in HOT_RUNS, so it can be sent everywhere.
+    hot = several.groupBy("sig").count().where(F.col("count") > HOT_RUNS).select(F.col("sig").alias("hot_sig"))
+    wanted = (
+        several.join(F.broadcast(area.table(hot, "hot")), F.col("sig") == F.col("hot_sig"), "left")
+        .withColumn("hot", F.col("hot_sig").isNotNull())
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set(F.struct("sig", "at", "hot")).alias("wanted"))
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "wanted")
+    )
+    return (
+        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+        .select("doc_id", "text_hash", "text", "wanted")
+        .mapInArrow(_bytes_of_runs, _WANTED)
+    )
+
+
 def removed_spans(texts: DataFrame, area: StagingArea) -> DataFrame:
     """doc_id, text_hash, start, size of spans to remove; they may overlap."""
     no_id = F.col("doc_id").isNull()
@@ -339,21 +430,13 @@ def removed_spans(texts: DataFrame, area: StagingArea) -> DataFrame:
         "doc_id", "text_hash", F.shiftright("at", 8).alias("start"),
         (F.col("at").bitwiseAND(F.lit(255)) + (LENGTH - 1)).alias("size"),
     )
-    wanted = (
-        decided.where("not repeated")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("sig", "at")).alias("wanted"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "wanted")
-    )
     parts = (
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-        .select("doc_id", "text_hash", "text", "wanted")
-        .mapInArrow(_bytes_of_runs, "sig long, doc_id long, text_hash long, at long, data binary")
+        _to_compare(texts, decided, area)
         .repartition("sig")
         .withColumn("no_id", no_id)
-        .sortWithinPartitions("sig", *_ORDER)
+        .sortWithinPartitions("hot", "sig", "content", *_ORDER)
         .drop("no_id")
-        .mapInArrow(_sort_runs, "doc_id long, text_hash long, start long, size long")
+        .mapInArrow(_compare, "doc_id long, text_hash long, start long, size long")
     )
     return whole.unionByName(parts)
 

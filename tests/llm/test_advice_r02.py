@@ -1,10 +1,11 @@
 """What the second review found missing."""
 
 import random
-
+from collections import Counter
 
 import corpus_pipeline
-
+from skyledger.llm import suffixdedup
+from tests.llm.test_corpus import _got, _order, _suffix_brute
 
 def _groups(texts):
     """Root of every text under brute force."""
@@ -48,3 +49,26 @@ def test_near_copies_of_the_pipeline_equal_brute_force(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     kept = corpus_pipeline.without_near_copies(spark, docs, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+
+
+def test_hot_grams_are_split_before_the_shuffle(spark, area, monkeypatch):
+    """A passage in every document, in other company each time: no task gets all runs of one of its grams."""
+    monkeypatch.setattr(suffixdedup, "HOT_RUNS", 20)
+    rnd = random.Random(2)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = text(150)
+    rows = [(i if i % 7 else None, text(60) + passage + text(60)) for i in range(120)]
+    rows += [(500, passage + "x" * 300), rows[0], rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sent, whole = [], suffixdedup._to_compare
+
+    def noted(*args):
+        sent.append(area.table(whole(*args), "sent"))
+        return sent[0]
+
+    monkeypatch.setattr(suffixdedup, "_to_compare", noted)
+    expected = _suffix_brute(rows)
+    want = Counter((r[0], *expected[(_order(r), r[1].encode())]) for r in rows)
+    assert _got(suffixdedup.suffix_dedup(docs, area).drop("kept")) == want
+    cold = Counter(r["sig"] for r in sent[0].where("not hot").collect())
+    assert max(cold.values()) <= 22 and sent[0].where("hot").count()  # 20 kinds and two repeated rows
