@@ -13,8 +13,10 @@ text's posterior, then with the posterior so far; a page's own count is taken
 out of its host's and domain's. Counts are sums of probabilities per host,
 domain, declaration and suffix, pre-aggregated before the shuffle.
 
-The text model is fitted on about ``FIT_ROWS`` labelled documents, chosen by a
-hash of their id; it knows the ``MOST_LANGUAGES`` most frequent labels.
+The text model is fitted on all labelled documents of a language, or about
+``FIT_ROWS`` of them chosen by a hash of their id (of their text if that is
+missing). Every label is a language. Sums are grouped as long rows of key and
+language; a page's evidence has one place per language.
 
 Defined results: a page without html has no text evidence, one without address
 the empty host. Without labelled documents there is no language (null) and the
@@ -35,8 +37,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyledger.llm.common import sliced, texts_of
 from skyledger.staging import StagingArea
 
-FIT_ROWS = 20_000
-MOST_LANGUAGES = 64
+#: Documents per language that the text model is fitted on.
+FIT_ROWS = 5_000
+#: Languages counted at a time in one task.
+_HELD = 64
 _SLOTS = 1 << 15
 #: Trigrams beyond this many add nothing to the confidence.
 _ENOUGH = 120
@@ -61,44 +65,65 @@ def _slots(text: bytes) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            slot = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(slot), pa.string()), pa.array(slot), pa.array(counts[slot])], ["lang", "slot", "n"]
+            )
+        held.clear()
+
     for batch in sliced(batches, "text"):
         for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
+            if lang not in held and len(held) == _HELD:
+                yield from counted()
             held.setdefault(lang, np.zeros(_SLOTS, np.int64))
             held[lang] += np.bincount(_slots(text), minlength=_SLOTS)
-    for lang, counts in held.items():
-        slot = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(slot), pa.string()), pa.array(slot), pa.array(counts[slot])], ["lang", "slot", "n"]
-        )
+    yield from counted()
+
+
+class TextModel:
+    """Log probabilities of slots under each language; only slots that a language has are kept."""
+
+    def __init__(self, n_langs: int, lang: np.ndarray, slot: np.ndarray, n: np.ndarray):
+        total = np.bincount(lang, n, n_langs) + 0.5 * _SLOTS
+        self.unseen = np.log(0.5 / total)
+        by = np.argsort(slot, kind="stable")
+        self.lang, self.gain = lang[by].astype(np.int32), np.log((n[by] + 0.5) / 0.5)
+        self.begin = np.searchsorted(slot[by], np.arange(_SLOTS + 1))
+
+    def log_likelihood(self, slots: np.ndarray) -> np.ndarray:
+        slot, times = np.unique(slots, return_counts=True)
+        size = self.begin[slot + 1] - self.begin[slot]
+        at = np.arange(size.sum()) + np.repeat(self.begin[slot] - np.cumsum(size) + size, size)
+        return len(slots) * self.unseen + np.bincount(self.lang[at], self.gain[at] * np.repeat(times, size), len(self.unseen))
 
 
-def fit_text(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages in order and the log probabilities of every slot under each."""
+def fit_text(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], TextModel]:
+    """Languages in order and the model of their texts, from about ``rows`` documents of each."""
     labelled = docs.where(F.col("lang").isNotNull())
-    found = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in found)
-    total = sum(r["count"] for r in found)
-    share = min(1.0, rows / max(1, total))
-    sample = labelled.where(F.col("lang").isin(langs)).where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    )
-    counts = np.full((len(langs), _SLOTS), 0.5)
+    found = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    langs = sorted(found)
     number = {lang: i for i, lang in enumerate(langs)}
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, int(min(1.0, rows / n) * (1 << 30))) for lang, n in found.items()], "lang string, most long"
+    )
+    place = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1 << 30))
+    sample = labelled.join(F.broadcast(limits), "lang").where(place < F.col("most"))
     grouped = sample.select("lang", "text").mapInArrow(_count, "lang string, slot long, n long")
-    table = grouped.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas() if langs else None
-    if table is not None and len(table):
-        np.add.at(counts, (table["lang"].map(number).to_numpy(), table["slot"].to_numpy()), table["n"].to_numpy())
-    return langs, np.log(counts / counts.sum(axis=1, keepdims=True))
+    table = grouped.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    lang = np.array([number[x] for x in table["lang"]], np.int64)
+    return langs, TextModel(len(langs), lang, table["slot"].to_numpy(np.int64), table["n"].to_numpy(np.int64))
 
 
-def _text_evidence(log_p: np.ndarray):
+def _text_evidence(model: TextModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "html"):
             out = []
             for page in batch.column("html").to_pylist():
                 slots = _slots(visible_text(page or "").encode())
-                value = log_p[:, slots].sum(axis=1)
-                value = value * min(1.0, _ENOUGH / max(1, len(slots)))
+                value = model.log_likelihood(slots) * min(1.0, _ENOUGH / max(1, len(slots)))
                 out.append((value - value.max()).tolist() if len(value) else [])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("page_id", "declared", "suffix", "host", "domain")),
@@ -133,21 +158,30 @@ def _normal(log: Column) -> Column:
     )
 
 
-def _sums(rows: DataFrame, by: list[str], n: int) -> DataFrame:
-    """Per key, the sum of every language's probability."""
-    parts = [F.sum(F.get("p", F.lit(i))).alias(f"_{i}") for i in range(n)]
-    return (rows.groupBy(*by) if by else rows.groupBy()).agg(*parts).select(
-        *by, F.array(*[F.coalesce(F.col(f"_{i}"), F.lit(0.0)) for i in range(n)]).alias("sums")
+def _long_sums(rows: DataFrame, *by: str) -> DataFrame:
+    """Per key and place of a language, the sum of its probability."""
+    return rows.select(*by, F.posexplode("p").alias("i", "x")).groupBy(*by, "i").agg(F.sum("x").alias("x"))
+
+
+def _sums(rows: DataFrame, by: str) -> DataFrame:
+    """Per key, the sums of all languages in order."""
+    return _long_sums(rows, by).groupBy(by).agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("sums")).select(
+        by, F.col("sums.x").alias("sums")
     )
 
 
+def _total(rows: DataFrame, n: int) -> list[float]:
+    """The sum of every language's probability over all rows."""
+    found = {r["i"]: r["x"] for r in _long_sums(rows).collect()}
+    return [found.get(i, 0.0) for i in range(n)]
+
+
 def _likelihood(rows: DataFrame, column: str, langs: list[str], everything: list[float]) -> DataFrame:
     """``column`` and the log likelihood of its value under each language; what it says by itself weighs in."""
-    n = len(langs)
-    own = F.array(*[F.when(F.col(column) == lang, F.lit(_SMOOTH_EVIDENCE)).otherwise(F.lit(0.0)) for lang in langs])
-    flat = _SMOOTH_EVIDENCE / n
-    totals = F.array(*[F.lit(float(x) + 2 * _SMOOTH_EVIDENCE) for x in everything])
-    sums = _sums(rows, [column], n)
+    own = F.transform(F.lit(langs), lambda lang: F.when(F.col(column) == lang, _SMOOTH_EVIDENCE).otherwise(0.0))
+    flat = _SMOOTH_EVIDENCE / len(langs)
+    totals = F.lit([float(x) + 2 * _SMOOTH_EVIDENCE for x in everything])
+    sums = _sums(rows, column)
     log = F.transform(
         F.arrays_zip(sums["sums"].alias("s"), own.alias("o"), totals.alias("t")),
         lambda z: F.log((z["s"] + z["o"] + flat) / z["t"]),
@@ -159,9 +193,9 @@ def _likelihood(rows: DataFrame, column: str, langs: list[str], everything: list
 def fuse(rows: DataFrame, langs: list[str], area: StagingArea) -> DataFrame:
     """Adds the posterior ``p`` (in the order of ``langs``) to rows with text_log, declared, suffix, host, domain."""
     n = len(langs)
-    zero = F.array(*[F.lit(0.0)] * n)
+    zero = F.array_repeat(F.lit(0.0), n)
     rows = area.table(rows.withColumn("p", _normal(F.col("text_log"))), "text-posterior")
-    everything = list(_sums(rows, [], n).first()["sums"])
+    everything = _total(rows, n)
 
     def add(*columns: str) -> Column:
         total = F.col("text_log")
@@ -177,11 +211,11 @@ def fuse(rows: DataFrame, langs: list[str], area: StagingArea) -> DataFrame:
         .select("page_id", "declared", "suffix", "host", "domain", "text_log", "own_log", "p"),
         "own-posterior",
     )
-    everything = _sums(rows, [], n).first()["sums"]
+    everything = _total(rows, n)
     total = sum(everything) + n
-    base = F.array(*[F.lit((x + 1.0) / total) for x in everything])
-    hosts = _sums(rows, ["host"], n).select(F.col("host").alias("_host"), F.col("sums").alias("host_sums"))
-    domains = _sums(rows, ["domain"], n).select(F.col("domain").alias("_domain"), F.col("sums").alias("domain_sums"))
+    base = F.lit([(x + 1.0) / total for x in everything])
+    hosts = _sums(rows, "host").select(F.col("host").alias("_host"), F.col("sums").alias("host_sums"))
+    domains = _sums(rows, "domain").select(F.col("domain").alias("_domain"), F.col("sums").alias("domain_sums"))
     joined = rows.join(hosts, F.col("host") == F.col("_host")).join(domains, F.col("domain") == F.col("_domain"))
 
     def smoothed(sums: Column, above: Column) -> Column:
@@ -197,16 +231,16 @@ def fuse(rows: DataFrame, langs: list[str], area: StagingArea) -> DataFrame:
 
 def page_languages(pages: DataFrame, docs: DataFrame, area: StagingArea, rows: int = FIT_ROWS) -> DataFrame:
     """One row per page: page_id, lang, probability, text_lang, declared, suffix, host."""
-    langs, log_p = fit_text(docs, rows)
+    langs, model = fit_text(docs, rows)
     read = addressed(pages).mapInArrow(
-        _text_evidence(log_p),
+        _text_evidence(model),
         "page_id long, declared string, suffix string, host string, domain string, text_log array<double>",
     )
     if not langs:
         none = F.lit(None).cast("string")
         return read.select("page_id", none.alias("lang"), F.lit(0.0).alias("probability"), none.alias("text_lang"),
                            "declared", "suffix", "host")
-    names = F.array(*map(F.lit, langs))
+    names = F.lit(langs)
     best = lambda c: F.get(names, F.array_position(c, F.array_max(c)).cast("int") - 1)
     return fuse(read, langs, area).select(
         "page_id", best(F.col("p")).alias("lang"), F.array_max("p").alias("probability"),

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from skyledger.llm import suffixdedup
+from skyledger.llm import language, suffixdedup
 from tests.llm.test_corpus import _got, _order, _suffix_brute
 
 def _groups(texts):
@@ -72,3 +72,18 @@ def test_hot_grams_are_split_before_the_shuffle(spark, area, monkeypatch):
     assert _got(suffixdedup.suffix_dedup(docs, area).drop("kept")) == want
     cold = Counter(r["sig"] for r in sent[0].where("not hot").collect())
     assert max(cold.values()) <= 22 and sent[0].where("hot").count()  # 20 kinds and two repeated rows
+
+
+def test_every_label_is_a_language(spark, area):
+    """More labels than 64, one of which has nearly all documents."""
+    rnd = random.Random(4)
+    lexicon = {f"l{i:02}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for i in range(70)}
+    text = lambda lang: " ".join(rnd.choice(lexicon[lang]) for _ in range(30))
+    docs = [(lang, text(lang)) for lang in lexicon for _ in range(2)] + [("l00", text("l00")) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, lang string, text string")
+    pages = spark.createDataFrame(
+        [(i, f"http://h{i}.org/", f"<p>{text(lang)}</p>") for i, lang in enumerate(lexicon)], "page_id long, url string, html string"
+    )
+    got = {r["page_id"]: r for r in language.page_languages(pages, docs, area, rows=100).collect()}
+    assert [got[i]["text_lang"] for i in range(70)] == list(lexicon)
+    assert [got[i]["lang"] for i in range(70)] == list(lexicon)
