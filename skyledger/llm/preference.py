@@ -6,10 +6,11 @@ completion that are learned, which are the assistant's texts with their end
 marks. Only DataFrame functions are used.
 
 Defined results: turns are ordered by number, then role, then text; repeated
-rows count once. A missing role is ``unknown``, a missing text is empty. Turns
-without conv_id are one conversation, whose partner is missing. If a side has no
-turns its completion is empty; if the sides are equal both completions are. An
-empty table gives an empty result.
+rows of a conversation count once. A missing role is ``unknown``, a missing text
+is empty. Every row without conv_id is a conversation of its own with a missing
+id and no partner; such rows are not gathered. If a side has no turns its
+completion is empty; if the sides are equal both completions are. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,17 +21,31 @@ END = "<|end|>\n"
 LEARNED_ROLE = "assistant"
 
 
+def _role_and_text() -> list[Column]:
+    return [F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")]
+
+
 def conversations(turns: DataFrame) -> DataFrame:
-    """conv_id and its ``turns`` (role, text) in order."""
-    numbered = F.struct(
-        "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    return turns.groupBy("conv_id").agg(F.sort_array(F.collect_set(numbered)).alias("numbered")).select(
+    """conv_id and its ``turns`` (role, text) in order, of turns that have a conv_id."""
+    numbered = F.struct("turn", *_role_and_text())
+    known = turns.where("conv_id is not null")
+    return known.groupBy("conv_id").agg(F.sort_array(F.collect_set(numbered)).alias("numbered")).select(
         "conv_id",
         F.transform("numbered", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"),
     )
 
 
+def lone_turns(turns: DataFrame) -> DataFrame:
+    """Turns without conv_id in the shape of ``conversations``, each by itself."""
+    return turns.where("conv_id is null").select("conv_id", F.array(F.struct(*_role_and_text())).alias("turns"))
+
+
+def _with_last_answer(own: DataFrame) -> DataFrame:
+    """Adds ``at``, the number of the last answer."""
+    last = F.size("turns") - F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"]), LEARNED_ROLE).cast("int") + 1
+    return own.withColumn("at", F.when(F.exists("turns", lambda t: t["role"] == LEARNED_ROLE), last))
+
+
 def _header(turn: Column) -> Column:
     return F.concat(F.lit("<|"), turn["role"], F.lit("|>\n"))
 
@@ -84,15 +99,16 @@ def answers_of_neighbours(turns: DataFrame) -> DataFrame:
     no answer, the rejected side ends before the last answer; a conversation that
     has no answer is rejected as it is.
     """
-    own = conversations(turns)
-    last = F.size("turns") - F.array_position(F.transform(F.reverse("turns"), lambda t: t["role"]), LEARNED_ROLE).cast("int") + 1
-    own = own.withColumn("at", F.when(F.exists("turns", lambda t: t["role"] == LEARNED_ROLE), last))
+    own = _with_last_answer(conversations(turns))
     answers = own.where("at is not null").select(
         F.col("conv_id").bitwiseXOR(F.lit(1)).alias("partner"), F.get("turns", F.col("at") - 1).alias("answer")
     )
+    joined = own.join(answers, F.col("conv_id") == F.col("partner"), "left").drop("partner")
+    # Missing ids stay out of the shuffles, where they would meet in one task.
+    lone = _with_last_answer(lone_turns(turns))
     before = F.slice("turns", F.lit(1), F.col("at") - 1)
     other = F.when(F.col("answer").isNull(), before).otherwise(F.array_append(before, F.col("answer")))
-    return own.join(answers, F.col("conv_id") == F.col("partner"), "left").select(
+    return joined.unionByName(lone, allowMissingColumns=True).select(
         F.col("conv_id").alias("pair_id"),
         F.col("turns").alias("chosen"),
         F.when(F.col("at").isNull(), F.col("turns")).otherwise(other).alias("rejected"),

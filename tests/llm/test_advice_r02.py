@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from skyledger.llm import language, suffixdedup
+from skyledger.llm import language, preference, suffixdedup
 from tests.llm.test_corpus import _got, _order, _suffix_brute
 
 def _groups(texts):
@@ -87,3 +87,15 @@ def test_every_label_is_a_language(spark, area):
     got = {r["page_id"]: r for r in language.page_languages(pages, docs, area, rows=100).collect()}
     assert [got[i]["text_lang"] for i in range(70)] == list(lexicon)
     assert [got[i]["lang"] for i in range(70)] == list(lexicon)
+
+
+def test_turns_without_conversation_are_not_gathered(spark):
+    turns = [(None, i, "assistant" if i % 2 else None, f"t{i}") for i in range(40)] + [(None, 1, "assistant", "t1")]
+    turns += [(4, 0, "user", "q"), (4, 1, "assistant", "a"), (5, 0, "assistant", "b")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = preference.format_preferences(preference.answers_of_neighbours(table)).collect()
+    lone = Counter(r["prompt"] + r["chosen"] for r in rows if r["pair_id"] is None)
+    assert lone == Counter(f"<|{r or 'unknown'}|>\n{t}<|end|>\n" for c, _, r, t in turns if c is None)
+    assert all(r["rejected"] == "" for r in rows if r["pair_id"] is None)
+    assert sorted(r["pair_id"] for r in rows if r["pair_id"] is not None) == [4, 5]
+    assert next(r["rejected"] for r in rows if r["pair_id"] == 4) == "<|assistant|>\nb<|end|>\n"
