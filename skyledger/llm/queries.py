@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import exactdedup, language, linewindows, mixing, pieces, preference, simhash, suffixdedup, toxicity, winnowing
+from skyledger.llm import (
+    alignment, collocations, decontaminate, exactdedup, language, linewindows, mixing, pieces, preference, simhash, suffixdedup,
+    toxicity, winnowing,
+)
 from skyledger.llm.common import area, table
 
 
@@ -57,11 +60,23 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.Vocabulary.from_file())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), area(spark))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), area(spark))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), area(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_preferences, op2_line_windows, op3_toxicity, op4_winnowing, op5_language, op6_suffix_dedup, op7_mixing,
-        op8_simhash, op9_exact_dedup, op10_pieces,
+        op8_simhash, op9_exact_dedup, op10_pieces, op11_collocations, op12_decontaminate, op13_alignment,
     )
 }
 
@@ -133,5 +148,68 @@ WITH texts AS (
 SELECT doc_id, min(doc_id) OVER (PARTITION BY digest) AS keep_id, count(*) OVER (PARTITION BY digest) AS group_size,
   doc_id = min(doc_id) OVER (PARTITION BY digest) AS kept, digest AS text_sha256
 FROM texts
+""",
+    "op11_collocations": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+  FROM worded, (VALUES (1), (2), (3)) AS v(size) WHERE len(w) >= size
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : size], ' ') AS tail
+  FROM candidates, (VALUES (1), (2)) AS v(k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, h.f AS l, t.f AS r, (1000000::HUGEINT * c.a * c.a // (h.f::HUGEINT * t.f))::BIGINT AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000000::HUGEINT * c.a * c.a // (h.f::HUGEINT * t.f), k) AS turn
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail
+), held AS (
+  SELECT lang, phrase, max(a) AS longest FROM (
+    SELECT lang, a, array_to_string(w[1 : 2], ' ') AS phrase FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2 : 3], ' ') FROM candidates WHERE size = 3) GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN held x ON x.lang = s.lang AND x.phrase = s.phrase
+  WHERE turn = 1 AND (x.longest IS NULL OR 100 * x.longest < 50 * a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op12_decontaminate": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size,
+    unnest([array_to_string(w[i : i + least(len(w), 10) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS win
+  FROM items WHERE len(w) > 0
+), own AS (
+  SELECT place, size, unnest(range(1, len(w) - size + 2)) AS start,
+    unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS win
+  FROM texts, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), hits AS (
+  SELECT o.place, o.size, o.start, w.item FROM own o JOIN windows w ON w.win = o.win AND w.size = o.size
+), covered AS (
+  SELECT place, count(*) AS n_hit FROM (SELECT DISTINCT place, unnest(range(start, start + size)) AS word FROM hits) GROUP BY place
+), named AS (
+  SELECT place, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT place, item FROM hits) GROUP BY place
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (place) LEFT JOIN named USING (place)
 """,
 }
