@@ -32,20 +32,16 @@ SPAN_WORDS, GRAM_WORDS = 10, 4
 #: Rows of a benchmark table that is broadcast at most.
 BROADCAST_ROWS = 500_000
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: ASCII characters that are no part of a word; characters beyond ASCII are.
+_BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _PLACE = (1 << 31) - 1
 
 
-def _lower(text: Column) -> Column:
-    """ASCII letters in lower case; the built-in function would change other letters too."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-
-
 def words(text: Column | str = "text") -> Column:
-    return F.regexp_extract_all(_lower(whole_text(text)), F.lit(_WORD), F.lit(0))
+    """Everything between words becomes a space, on which the text is split: far cheaper than a pattern."""
+    even = F.translate(whole_text(text), _LETTERS + _BETWEEN, _LETTERS.lower() + " " * len(_BETWEEN))
+    return F.array_remove(F.split(even, " ", -1), "")
 
 
 def _gram(at: Column, size: int, *seed: Column) -> Column:
@@ -201,7 +197,7 @@ def contamination(docs: DataFrame, items: DataFrame, area: StagingArea) -> DataF
     )
     counted = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.regexp_count(whole_text(), F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"),
+        F.size(words()).cast("long").alias("n_words"),
     )
     of_doc = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     none = F.lit(0).cast("long")
