@@ -15,9 +15,10 @@ def main() -> None:
     parser.add_argument("staging", help="folder for the staging tables")
     parser.add_argument("target", help="folder for the warehouse tables")
     parser.add_argument("--load-date", default=date.today().isoformat())
+    parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold line ends; a file is then one task")
     args = parser.parse_args()
     spark = settings(SparkSession.builder.appName("skyledger")).getOrCreate()
-    etl.run(spark, args.source, args.staging, args.target, args.load_date).show(truncate=False)
+    etl.run(spark, args.source, args.staging, args.target, args.load_date, multi_line=args.multi_line).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -6,9 +6,10 @@ from functools import cache
 
 from skyledger import fixed_values as fv
 from skyledger.catalog import inputs
-from skyledger.catalog.queries import BUSINESS_KEY, CURRENT_YEAR, LOAD_DATE, NEXT_LOAD_DATE, SPLIT_YEAR
+from skyledger.catalog.queries import _LOOKUP_FILES, BUSINESS_KEY, CURRENT_YEAR, LOAD_DATE, NEXT_LOAD_DATE, SPLIT_YEAR
 from skyledger.plans.star import FACT_KEYS, FACT_NAMES
 from skyledger.schemas import FACT_COLUMNS
+from skyledger.sources.files import WRONG_LINE
 
 Ctes = list[tuple[str, str]]
 
@@ -419,17 +420,29 @@ def chain_1_4() -> Ctes:
 
 # -- later loads ---------------------------------------------------------------------------------
 
+_CARRIER_NAME = "CASE WHEN c_custkey <> 1 THEN c_name END AS CarrierNombre"
+_TOP = "(SELECT max(TransportistaKey) FROM cur)"
 CARRIER_LOADS: Ctes = [
-    ("old_c", "SELECT c_name AS CarrierNombre, c_mktsegment AS CarrierGrupo, 'R' || CAST(c_nationkey % 4 AS VARCHAR) AS Region "
+    ("old_c", f"SELECT {_CARRIER_NAME}, c_mktsegment AS CarrierGrupo, 'R' || CAST(c_nationkey % 4 AS VARCHAR) AS Region "
               "FROM customer WHERE c_custkey % 10 <> 0"),
-    ("cur", f"SELECT {key('CarrierNombre', 'TransportistaKey')}, *, {VALID} FROM old_c"),
-    ("new_c", "SELECT c_name AS CarrierNombre, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'Merged' "
-              "ELSE c_mktsegment END AS CarrierGrupo, "
-              "'R' || CAST((c_nationkey + CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END) % 4 AS VARCHAR) AS Region "
-              "FROM customer WHERE c_custkey % 9 <> 0"),
-    ("changed_c", "SELECT n.* FROM new_c n JOIN old_c o ON n.CarrierNombre = o.CarrierNombre "
+    ("cur", f"SELECT {key('CarrierNombre NULLS FIRST', 'TransportistaKey')}, *, {VALID} FROM old_c"),
+    ("feed", f"SELECT {_CARRIER_NAME}, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 OR c_custkey = 1 THEN 'Merged' "
+             "ELSE c_mktsegment END AS CarrierGrupo, "
+             "'R' || CAST((c_nationkey + CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END) % 4 AS VARCHAR) AS Region, c_custkey "
+             "FROM customer WHERE c_custkey % 9 <> 0"),
+    ("new_c", "SELECT CarrierNombre, CarrierGrupo, Region FROM (SELECT * FROM feed UNION ALL "
+              "SELECT * REPLACE ('R9' AS Region) FROM feed WHERE c_custkey % 17 = 0) "
+              "QUALIFY row_number() OVER (PARTITION BY CarrierNombre ORDER BY CarrierGrupo DESC NULLS LAST, Region DESC NULLS LAST) = 1"),
+    ("changed_c", "SELECT n.* FROM new_c n JOIN old_c o ON n.CarrierNombre IS NOT DISTINCT FROM o.CarrierNombre "
                   "WHERE n.CarrierGrupo IS DISTINCT FROM o.CarrierGrupo OR n.Region IS DISTINCT FROM o.Region"),
-    ("unseen_c", "SELECT * FROM new_c WHERE CarrierNombre NOT IN (SELECT CarrierNombre FROM old_c)"),
+    ("unseen_c", "SELECT * FROM new_c n WHERE NOT EXISTS (SELECT 1 FROM old_c o WHERE o.CarrierNombre IS NOT DISTINCT FROM n.CarrierNombre)"),
+    ("both_c", "SELECT c.*, n.n IS NOT NULL AS fed, n.CarrierGrupo AS new_grupo, n.Region AS new_region FROM cur c "
+               "LEFT JOIN (SELECT *, 1 AS n FROM new_c) n ON c.CarrierNombre IS NOT DISTINCT FROM n.CarrierNombre"),
+    ("versions_c", "SELECT TransportistaKey, CarrierNombre, CarrierGrupo, Region, Fecha_Inicio, "
+                   f"CASE WHEN differs THEN DATE '{NEXT_LOAD_DATE}' - INTERVAL 1 DAY END::DATE AS Fecha_Fin, NOT differs AS Fila_Activa "
+                   "FROM (SELECT *, fed AND (new_grupo IS DISTINCT FROM CarrierGrupo OR new_region IS DISTINCT FROM Region) AS differs FROM both_c) "
+                   f"UNION ALL SELECT {key('CarrierNombre NULLS FIRST', 'TransportistaKey', _TOP)}, *, DATE '{NEXT_LOAD_DATE}', CAST(NULL AS DATE), true "
+                   "FROM (SELECT * FROM changed_c UNION ALL SELECT * FROM unseen_c)"),
 ]
 
 
@@ -501,11 +514,18 @@ def oracles() -> dict[str, str]:
     na = ", ".join(f"'{x}'" for x in fv.NA_TOKENS)
     texts = [c for c in FACT_COLUMNS if c not in inputs._INTS and c not in ("Freight", "Mail", "Payload", "Distance")]
     o["scan_fact_csv"] = sql(
-        "SELECT * EXCLUDE (row_id) REPLACE (" + ", ".join(f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END AS {c}" for c in texts)
-        + ") FROM t100")
+        "SELECT * EXCLUDE (row_id) REPLACE (CASE WHEN row_id % 3 < 2 THEN Mail END AS Mail, "
+        + ", ".join(f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END AS {c}" for c in texts)
+        + "), row_number() OVER (ORDER BY row_id % 3, row_id, Payload, Passengers) AS orden FROM t100")
+    o["scan_refused_lines"] = sql(
+        "SELECT 'stg_t100' AS tabla, CASE WHEN row_id % 3 = 0 THEN 'short' ELSE '1999,C1,' END || row_id AS linea, "
+        f"'{WRONG_LINE}' AS motivos FROM t100 WHERE row_id % 50 = 7")
+    value = lambda c: f"CASE WHEN {c} IN ({na}) THEN NULL ELSE {c} END"
+    own = ("AirlineID", "UniqueCarrier", "CarrierName", "StartDate", "EndDate")
     o["scan_lookup_csv"] = sql(_union(
-        "SELECT 'stg_airports' AS tabla, Code, Description FROM airports",
-        "SELECT 'stg_carrier_history', UniqueCarrier, CASE WHEN EndDate = '' THEN NULL ELSE EndDate END FROM history"))
+        f"SELECT 'stg_carrier_history' AS tabla, {', '.join(f'{value(c)} AS {c}' for c in own)}, NULL AS Code, NULL AS Description FROM history",
+        *[f"SELECT '{fv.LOOKUP_TABLES[file]}', {', '.join('NULL' for _ in own)}, {value('Code')}, {value('Description')} FROM {name}"
+          for name, file in _LOOKUP_FILES.items() if name != "history"]))
     o["stage_overwrite"] = sql("SELECT row_id, Year, Month, UniqueCarrier, Origin, Dest, Seats, Freight FROM t100")
     o["scan_table"] = sql("SELECT * FROM history")
     o["scan_projected_filtered"] = sql("SELECT Code, Description FROM airports WHERE Code IS NOT NULL AND Description IS NOT NULL")
@@ -630,7 +650,8 @@ def oracles() -> dict[str, str]:
     o["resolve_keys"] = sql(f"SELECT row_id, Year, Month, UniqueCarrierName, Origin, Dest, {', '.join(FACT_KEYS)} FROM resolved", whole_star())
     o["fact_vuelo"] = sql("SELECT * FROM vuelo", whole_star())
     zero = f"coalesce({dec('Carga', 'DECIMAL(18,2)')}, 0)"
-    o["load_dw"] = sql(f"SELECT {TYPED_FACT.format(carga='CAST(' + zero + ' AS DECIMAL(18,2))')} FROM vuelo", whole_star())
+    typed = TYPED_FACT.format(carga="CAST(" + zero + " AS DECIMAL(18,2))")
+    o["load_dw"] = sql(f"SELECT {typed} FROM vuelo", whole_star())
     o["dw_contract"] = sql(f"SELECT {TYPED_FACT.format(carga=dec('Carga', 'DECIMAL(18,2)'))} FROM vuelo WHERE Carga IS NOT NULL AND tipoServicio IS NOT NULL", whole_star())
 
     # audit
@@ -693,30 +714,35 @@ def oracles() -> dict[str, str]:
     o["x_reject_log"] = sql(_union(
         "SELECT VueloKey, TiempoKey, 'Carga is null' AS reason FROM vuelo WHERE Carga IS NULL",
         "SELECT VueloKey, TiempoKey, 'tipoServicio is null' FROM vuelo WHERE tipoServicio IS NULL"), whole_star())
+    known = "EXISTS (SELECT 1 FROM {t} WHERE {t}.CarrierNombre IS NOT DISTINCT FROM old_c.CarrierNombre)"
     o["x_change_detect"] = sql(_union(
         "SELECT CarrierNombre, 'new' AS state FROM unseen_c", "SELECT CarrierNombre, 'changed' FROM changed_c",
-        "SELECT CarrierNombre, 'absent' FROM old_c WHERE CarrierNombre NOT IN (SELECT CarrierNombre FROM new_c)",
-        "SELECT CarrierNombre, 'unchanged' FROM old_c WHERE CarrierNombre IN (SELECT CarrierNombre FROM new_c) "
-        "AND CarrierNombre NOT IN (SELECT CarrierNombre FROM changed_c)"), CARRIER_LOADS)
-    o["x_upsert"] = sql("SELECT * FROM new_c UNION ALL SELECT * FROM old_c WHERE CarrierNombre NOT IN (SELECT CarrierNombre FROM new_c)", CARRIER_LOADS)
-    top = "(SELECT max(TransportistaKey) FROM cur)"
+        f"SELECT CarrierNombre, 'absent' FROM old_c WHERE NOT {known.format(t='new_c')}",
+        f"SELECT CarrierNombre, 'unchanged' FROM old_c WHERE {known.format(t='new_c')} AND NOT {known.format(t='changed_c')}"), CARRIER_LOADS)
+    o["x_upsert"] = sql(f"SELECT * FROM new_c UNION ALL SELECT * FROM old_c WHERE NOT {known.format(t='new_c')}", CARRIER_LOADS)
     o["x_scd1"] = sql(_union(
-        "SELECT c.TransportistaKey, c.CarrierNombre, CASE WHEN n.CarrierNombre IS NULL THEN c.CarrierGrupo ELSE n.CarrierGrupo END AS CarrierGrupo, "
-        "CASE WHEN n.CarrierNombre IS NULL THEN c.Region ELSE n.Region END AS Region FROM cur c LEFT JOIN new_c n ON c.CarrierNombre = n.CarrierNombre",
-        f"SELECT {key('CarrierNombre', 'TransportistaKey', top)}, * FROM unseen_c"), CARRIER_LOADS)
-    o["x_scd2"] = sql(_union(
-        "SELECT c.TransportistaKey, c.CarrierNombre, c.CarrierGrupo, c.Region, c.Fecha_Inicio, "
-        f"CASE WHEN x.CarrierNombre IS NOT NULL THEN DATE '{NEXT_LOAD_DATE}' - INTERVAL 1 DAY END::DATE AS Fecha_Fin, "
-        "x.CarrierNombre IS NULL AS Fila_Activa FROM cur c LEFT JOIN changed_c x ON c.CarrierNombre = x.CarrierNombre",
-        f"SELECT {key('CarrierNombre', 'TransportistaKey', top)}, *, DATE '{NEXT_LOAD_DATE}', CAST(NULL AS DATE), true "
-        "FROM (SELECT * FROM changed_c UNION ALL SELECT * FROM unseen_c)"), CARRIER_LOADS)
+        "SELECT TransportistaKey, CarrierNombre, CASE WHEN fed THEN new_grupo ELSE CarrierGrupo END AS CarrierGrupo, "
+        "CASE WHEN fed THEN new_region ELSE Region END AS Region FROM both_c",
+        f"SELECT {key('CarrierNombre', 'TransportistaKey', _TOP)}, * FROM unseen_c"), CARRIER_LOADS)
+    o["x_scd2"] = sql("SELECT * FROM versions_c", CARRIER_LOADS)
     o["x_scd3"] = sql(
-        "SELECT c.TransportistaKey, c.CarrierNombre, c.Region, "
-        "CASE WHEN n.CarrierNombre IS NULL THEN c.CarrierGrupo ELSE n.CarrierGrupo END AS CarrierGrupo, "
-        "CASE WHEN n.CarrierNombre IS NOT NULL AND n.CarrierGrupo IS DISTINCT FROM c.CarrierGrupo THEN c.CarrierGrupo END AS CarrierGrupo_anterior "
-        "FROM cur c LEFT JOIN new_c n ON c.CarrierNombre = n.CarrierNombre", CARRIER_LOADS)
+        "SELECT TransportistaKey, CarrierNombre, Region, CASE WHEN fed THEN new_grupo ELSE CarrierGrupo END AS CarrierGrupo, "
+        "CASE WHEN fed AND new_grupo IS DISTINCT FROM CarrierGrupo THEN CarrierGrupo END AS CarrierGrupo_anterior FROM both_c", CARRIER_LOADS)
+    o["x_asof_keys"] = sql(
+        "SELECT o_orderkey, dia, CAST(coalesce(max(v.TransportistaKey), -1) AS INT) AS TransportistaKey FROM facts f LEFT JOIN versions_c v "
+        "ON v.CarrierNombre IS NOT DISTINCT FROM f.CarrierNombre AND v.Fecha_Inicio <= dia AND coalesce(v.Fecha_Fin >= dia, true) "
+        "GROUP BY o_orderkey, dia", CARRIER_LOADS,
+        [("facts", f"SELECT o_orderkey, {_CARRIER_NAME}, CAST(DATE '{LOAD_DATE}' + CAST(o_orderkey % 60 - 10 AS INT) AS DATE) AS dia "
+                   "FROM orders JOIN customer ON o_custkey = c_custkey")])
+    totals = lambda moment, tables: _union(*[
+        f"SELECT '{moment}' AS momento, '{k}' AS tabla, count(*) AS filas, CAST(max({k}Key) AS BIGINT) AS max_key FROM {v}" for k, v in tables.items()
+    ])
+    early = {"Tiempo": "e_tiempo", "Transportista": "e_carrier", "Aeropuerto": "e_aero", "Vuelo": "e_vuelo"}
+    o["x_atomic_reload"] = sql(
+        _union(totals("before", early), totals("broken", early), totals("after", keyed)), whole_star(),
+        [("early", f"SELECT * FROM p_clean WHERE Year < {SPLIT_YEAR}")], dims("early", "e"), resolved("early", "e_res", "e"), fact("e_res", "e_vuelo"))
     o["x_incremental_load"] = sql(
-        "SELECT *, '1' AS lote FROM v1 UNION ALL SELECT *, '2' AS lote FROM v2",
+        f"SELECT {typed}, '1' AS lote FROM v1 UNION ALL SELECT {typed}, '2' AS lote FROM v2",
         [("raw1", f"SELECT * FROM t100 WHERE Year < {SPLIT_YEAR}"), ("raw2", f"SELECT * FROM t100 WHERE Year >= {SPLIT_YEAR}")],
         all_rules("raw1", "p"), all_rules("raw2", "q"), dims("p_clean"), resolved("p_clean", "res1"), fact("res1", "v1"),
         [
@@ -731,6 +757,7 @@ def oracles() -> dict[str, str]:
         ],
         resolved("q_clean", "res2", "i"), fact("res2", "v2", "(SELECT max(VueloKey) FROM v1)"))
     o["x_load_metadata"] = sql(_union(*[
-        f"SELECT '1' AS lote, '{k}' AS tabla, DATE '{LOAD_DATE}' AS fecha_carga, count(*) AS filas FROM {v}" for k, v in keyed.items()
+        f"SELECT '1' AS lote, '{k}' AS tabla, DATE '{LOAD_DATE}' AS fecha_carga, count(*) AS filas, CAST(0 AS BIGINT) AS rechazadas, "
+        f"CAST(max({k}Key) AS BIGINT) AS clave_max, 'cargada' AS estado FROM {v}" for k, v in keyed.items()
     ]), whole_star())
     return o

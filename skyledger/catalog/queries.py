@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.catalog import inputs
 from skyledger.functions import measures as m, text
 from skyledger.functions.numbers import to_number
 from skyledger.operators.keys import dense_key as number
-from skyledger.plans import audit, history as h, lookups as lk, rules as r, star, variants as v
+from skyledger.operators.asof import attach_as_of
+from skyledger.plans import audit, etl, history as h, lookups as lk, rules as r, star, variants as v
 from skyledger.plans.clean import clean, run_rules
 from skyledger.plans.derive import add_measures
+from skyledger.schemas import FACT_COLUMNS, FACT_RAW
 from skyledger.session import tune
 from skyledger.sources import files, tables
+from skyledger.sources.warehouse import Warehouse
 from skyledger.staging import StagingArea
+from skyledger.streaming import increments
 
 LOAD_DATE = "2024-01-15"
 NEXT_LOAD_DATE = "2024-02-15"
@@ -106,25 +111,51 @@ def _write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def _fact_files(s: Source) -> str:
+    """The raw segments as files of three shapes in row order, and a file of lines that do not fit their header."""
+    root, rows = s.area.path("fact-csv"), s.segments.withColumn("Extra", F.lit("e"))
+    shapes = [FACT_COLUMNS, list(reversed(FACT_COLUMNS)), ["Extra", *[c for c in FACT_COLUMNS if c != "Mail"]]]
+    for k, columns in enumerate(shapes):
+        part = rows.where(f"row_id % {len(shapes)} = {k}").repartitionByRange(4, "row_id").sortWithinPartitions("row_id", "Payload", "Passengers")
+        _write_csv(part.select(columns), f"{root}/{k}")
+    number_ = F.col("row_id").cast("string")
+    broken = rows.where("row_id % 50 = 7").select("row_id", F.when(F.col("row_id") % 3 == 0, F.concat(F.lit("short"), number_))
+                                                 .otherwise(F.concat(F.lit("1999,C1,"), number_)).alias("value"))
+    header = s.spark.createDataFrame([(-1, "Year,UniqueCarrier")], "row_id long, value string")
+    broken.unionByName(header).coalesce(1).sortWithinPartitions("row_id").select("value").write.text(f"{root}/broken")
+    return root
+
+
 @query
 def scan_fact_csv(s: Source) -> DataFrame:
-    path = _write_csv(s.segments.drop("row_id"), s.area.path("fact-csv"))
-    return files.scan_fact_csv(s.spark, path)
+    """Files with their columns in any order, numbered in the order of the read; broken lines are not among the rows."""
+    root = _fact_files(s)
+    rows = files.scan_fact_csv(s.spark, [f"{root}/{k}" for k in ("0", "1", "2", "broken")], s.area)
+    return number(rows, "orden", ["row_id"], s.area, kind="bigint").drop("row_id")
+
+
+@query
+def scan_refused_lines(s: Source) -> DataFrame:
+    """The lines that do not have the columns of their header, as they are kept."""
+    root = _fact_files(s)
+    scan = files.scan_csv(s.spark, [f"{root}/{k}" for k in ("0", "1", "2", "broken")], FACT_RAW, s.area)
+    lines = files.refused_lines(scan.refused, "stg_t100")
+    return lines.select("tabla", F.get_json_object("fila", "$.linea").alias("linea"), F.array_join("motivos", ",").alias("motivos"))
+
+
+_LOOKUP_FILES = {"airports": "l_strport.csv", "history": "l_carrier_history.csv", "unique_carriers": "l_unique_carriers.csv",
+                 "markets": "l_city_market_id.csv", "seq_ids": "l_strport_seq_id.csv"}
 
 
 @query
 def scan_lookup_csv(s: Source) -> DataFrame:
     folder = s.area.path("lookups")
-    _write_csv(s.lookup("airports").drop("row_id"), f"{folder}/l_strport.csv")
-    _write_csv(s.lookup("history").drop("row_id"), f"{folder}/l_carrier_history.csv")
+    for name, file in _LOOKUP_FILES.items():
+        _write_csv(s.lookup(name).drop("row_id"), f"{folder}/{file}")
     found = files.scan_lookups(s.spark, folder, area=s.area)
-    assert set(found) == {"stg_airports", "stg_carrier_history"}
-    history = found["stg_carrier_history"].select(
-        F.lit("stg_carrier_history").alias("tabla"),
-        F.col("UniqueCarrier").alias("Code"), F.col("EndDate").alias("Description"),
-    )
-    airports = found["stg_airports"].select(F.lit("stg_airports").alias("tabla"), "Code", "Description")
-    return airports.unionByName(history)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        df.drop("row_id").select(F.lit(name).alias("tabla"), "*") for name, df in found.items()
+    ])
 
 
 @query
@@ -182,7 +213,7 @@ def sink_dim(s: Source) -> DataFrame:
 def sink_fact(s: Source) -> DataFrame:
     folder = s.area.path("dw")
     star.load_dw(s.clean(), folder, LOAD_DATE, s.area)
-    return s.spark.read.parquet(f"{folder}/Vuelo").groupBy("Anio").agg(
+    return Warehouse(s.spark, folder).read("Vuelo").groupBy("Anio").agg(
         F.count("*").alias("filas"), F.sum("Pasajeros").alias("pasajeros")
     )
 
@@ -193,16 +224,32 @@ def full_reload(s: Source) -> DataFrame:
     folder = s.area.path("dw")
     cleaned = s.area.table(s.clean(), "clean")
     star.load_dw(cleaned, folder, LOAD_DATE, s.area)
-    written = star.load_dw(cleaned, folder, LOAD_DATE, s.area)
-    parts = [
-        df.agg(F.count("*").alias("filas"), F.max(f"{name}Key").cast("bigint").alias("max_key"))
+    star.load_dw(cleaned, folder, LOAD_DATE, s.area)
+    return _totals(s, folder)
+
+
+def _totals(s: Source, folder: str) -> DataFrame:
+    """Rows and largest key of every table of a star, as a reader finds it now."""
+    house = Warehouse(s.spark, folder)
+    return reduce(DataFrame.unionByName, [
+        house.read(name).agg(F.count("*").alias("filas"), F.max(f"{name}Key").cast("bigint").alias("max_key"))
         .select(F.lit(name).alias("tabla"), "filas", "max_key")
-        for name, df in written.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        for name in star.STAR
+    ])
+
+
+@query
+def x_atomic_reload(s: Source) -> DataFrame:
+    """A star before a reload, after one that ends before its last step, and after one that is complete."""
+    folder = s.area.path("dw")
+    cleaned = s.area.table(s.clean(), "clean")
+    star.load_dw(cleaned.where(f"Year < {SPLIT_YEAR}"), folder, LOAD_DATE, s.area)
+    seen = [("before", _totals(s, folder))]
+    star.write_star(Warehouse(s.spark, folder).begin(), cleaned, NEXT_LOAD_DATE, s.area, written=True)
+    seen.append(("broken", _totals(s, folder)))
+    star.load_dw(cleaned, folder, LOAD_DATE, s.area, written=True)
+    seen.append(("after", _totals(s, folder)))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("momento"), "*") for name, df in seen])
 
 
 # -- projections, filters, coercions ------------------------------------------------------
@@ -734,10 +781,15 @@ ATTRIBUTES = ("CarrierGrupo", "Region")
 BUSINESS_KEY = v.BUSINESS_KEY
 
 
+def _carrier_name() -> Column:
+    """The customer's name; one customer has none."""
+    return F.when(F.col("c_custkey") != 1, F.col("c_name")).alias("CarrierNombre")
+
+
 def _old_carriers(s: Source) -> DataFrame:
-    """A carrier dimension of an earlier load, one member per customer it knew."""
+    """A carrier dimension of an earlier load, one member per customer it knew, the one without name too."""
     members = s.given("customer").where("c_custkey % 10 <> 0").select(
-        F.col("c_name").alias("CarrierNombre"), F.col("c_mktsegment").alias("CarrierGrupo"),
+        _carrier_name(), F.col("c_mktsegment").alias("CarrierGrupo"),
         F.concat(F.lit("R"), (F.col("c_nationkey") % 4).cast("string")).alias("Region"),
     )
     return number(members, "TransportistaKey", ["CarrierNombre"], s.area).withColumns(
@@ -746,15 +798,19 @@ def _old_carriers(s: Source) -> DataFrame:
 
 
 def _new_carriers(s: Source) -> DataFrame:
-    """The members a later load brings: some new, some changed, some gone."""
+    """The members a later load brings: some new, some changed, some gone, some named twice."""
     key = F.col("c_custkey")
-    return s.given("customer").where("c_custkey % 9 <> 0").select(
-        F.col("c_name").alias("CarrierNombre"),
-        F.when(key % 13 == 0, F.lit(None)).when(key % 7 == 0, F.lit("Merged"))
+    rows = s.given("customer").where("c_custkey % 9 <> 0")
+    members = rows.select(
+        _carrier_name(),
+        F.when(key % 13 == 0, F.lit(None)).when((key % 7 == 0) | (key == 1), F.lit("Merged"))
         .otherwise(F.col("c_mktsegment")).alias("CarrierGrupo"),
         F.concat(F.lit("R"), ((F.col("c_nationkey") + F.when(key % 11 == 0, 1).otherwise(0)) % 4)
                  .cast("string")).alias("Region"),
+        key,
     )
+    again = members.where("c_custkey % 17 = 0").withColumn("Region", F.lit("R9"))
+    return members.unionByName(again).drop("c_custkey")
 
 
 @query
@@ -809,20 +865,36 @@ def x_scd3(s: Source) -> DataFrame:
     return h.scd3(current, _new_carriers(s), ["CarrierNombre"], "CarrierGrupo")
 
 
+@query
+def x_asof_keys(s: Source) -> DataFrame:
+    """Orders as facts of customers that change: the version valid on each one's day, -1 where there was none."""
+    versions = s.area.table(h.scd2(
+        _old_carriers(s), _new_carriers(s), ["CarrierNombre"], ATTRIBUTES, "TransportistaKey",
+        NEXT_LOAD_DATE, s.area,
+    ), "versions")
+    day = F.date_add(F.lit(LOAD_DATE).cast("date"), (F.col("o_orderkey") % 60 - 10).cast("int"))
+    names = s.given("customer").select(F.col("c_custkey").alias("o_custkey"), _carrier_name())
+    facts = s.given("orders").join(names, "o_custkey").select("o_orderkey", "CarrierNombre", day.alias("dia"))
+    found = attach_as_of(
+        facts, versions, ["CarrierNombre"], "dia", "Fecha_Inicio", "Fecha_Fin", "TransportistaKey", s.area
+    )
+    return found.select("o_orderkey", "dia", F.coalesce("TransportistaKey", F.lit(h.UNKNOWN_KEY)).alias("TransportistaKey"))
+
+
+def _cleaner(s: Source) -> Callable[..., DataFrame]:
+    return lambda raw, area: clean(raw, s.lookup("airports"), s.lookup("history"), area)
+
+
 @query
 def x_incremental_load(s: Source) -> DataFrame:
     """The facts after a first load and one increment, with the load that brought them."""
-    raw = s.segments
-    first = s.clean(raw.where(f"Year < {SPLIT_YEAR}"))
-    tables = star.build_star(first, LOAD_DATE, s.area)
-    after = h.incremental_load(
-        tables, s.clean(raw.where(f"Year >= {SPLIT_YEAR}")), NEXT_LOAD_DATE, s.area
-    )
-    return tables["Vuelo"].withColumn("lote", F.lit("1")).unionByName(
-        after["Vuelo"].withColumn("lote", F.lit("2"))
-    )
+    raw, folder = s.segments, s.area.path("dw")
+    first = s.area.table(s.clean(raw.where(f"Year < {SPLIT_YEAR}")), "clean")
+    etl.first_load(first, folder, LOAD_DATE, s.area, "1")
+    increments.load_batch(raw.where(f"Year >= {SPLIT_YEAR}"), "2", folder, NEXT_LOAD_DATE, _cleaner(s))
+    return Warehouse(s.spark, folder).read("Vuelo").drop("Anio")
 
 
 @query
 def x_load_metadata(s: Source) -> DataFrame:
-    return h.load_metadata(s.star, "1", LOAD_DATE)
+    return etl.first_load(s.area.table(s.clean(), "clean"), s.area.path("dw"), LOAD_DATE, s.area, "1")

@@ -41,13 +41,20 @@ def one_per_key(feed: DataFrame, key: Sequence[str], order_by: Sequence[str] = (
 def _paired(
     old: DataFrame, new: DataFrame, key: Sequence[str], how: str
 ) -> DataFrame:
-    """Rows of both sides side by side. Keys are unique on each side, so no key is hot."""
-    condition = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key]
+    """Rows of both sides side by side; null matches null. Keys are unique on each side, so no key is hot."""
+    condition = reduce(Column.__and__, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in key])
     return old.withColumn("_in_old", F.lit(True)).alias("old").join(
         new.withColumn("_in_new", F.lit(True)).alias("new"), condition, how
     )
 
 
+def _without(rows: DataFrame, others: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key is not among the others'; null matches null."""
+    known = others.select(*[F.col(k).alias(f"_known_{k}") for k in key])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in key])
+    return rows.join(known, same, "left_anti")
+
+
 def change_detect(
     old: DataFrame, new: DataFrame, key: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
@@ -66,8 +73,7 @@ def change_detect(
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """New rows replace old rows of the same key; other old rows stay."""
     new = one_per_key(new, key)
-    kept = old.join(new.select(*key), list(key), "left_anti").select(old.columns)
-    return kept.unionByName(new)
+    return _without(old, new, key).unionByName(new)
 
 
 def scd1(
@@ -85,7 +91,7 @@ def scd1(
             for c in current.columns
         ]
     )
-    unseen = new.join(current.select(*natural), list(natural), "left_anti")
+    unseen = _without(new, current, natural)
     added = dense_key(
         unseen.select(*natural, *attributes), surrogate, natural, area,
         largest_key(current, surrogate) + 1,
@@ -110,10 +116,10 @@ def scd2(
         .select(*[F.col(f"new.{c}").alias(c) for c in (*natural, *attributes)]),
         "changed",
     )
-    unseen = new.join(active.select(*natural), list(natural), "left_anti").select(*natural, *attributes)
+    unseen = _without(new, active, natural).select(*natural, *attributes)
     closing = changed.select(*natural, F.lit(True).alias("_closed"))
     closed = F.col("_closed") & F.col("Fila_Activa")
-    history = attach(current, closing, natural, area, name="closing").withColumns(
+    history = attach(current, closing, natural, area, null_safe=True, name="closing").withColumns(
         {
             "Fecha_Fin": F.when(
                 closed, F.greatest(F.date_sub(day, 1), F.col("Fecha_Inicio"))
@@ -185,10 +191,7 @@ def new_members(
 ) -> DataFrame:
     """Members that the dimension has not seen, with the keys after its largest; null matches null."""
     natural, surrogate = list(star.NATURAL_KEYS[table]), f"{table}Key"
-    known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural])
-    unseen = members.join(known, same, "left_anti")
-    added = dense_key(unseen, surrogate, natural, area, largest_key(dim, surrogate) + 1)
+    added = dense_key(_without(members, dim, natural), surrogate, natural, area, largest_key(dim, surrogate) + 1)
     if "Fecha_Inicio" in dim.columns:
         added = added.withColumns(star.since(load_date))
     return added.select(dim.columns)
@@ -213,29 +216,23 @@ def active(dim: DataFrame) -> DataFrame:
     return dim.where("Fila_Activa") if "Fila_Activa" in dim.columns else dim
 
 
-def incremental_load(
-    tables: Mapping[str, DataFrame], clean_delta: DataFrame, load_date, area: StagingArea
-) -> dict[str, DataFrame]:
-    """The star after a batch: new members and new facts; existing keys do not move.
-
-    Reads only the batch, the small dimensions and the largest fact key.
-    """
-    delta = area.table(clean_delta, "delta")
-    out = {
-        name: area.table(add_members(tables[name], rows, name, load_date, area), f"dim-{name}")
-        for name, rows in members_of(delta).items()
-    }
-    facts = star.fact_vuelo(
-        star.resolve_keys(delta, {n: active(d) for n, d in out.items()}, area), area,
-        largest_key(tables["Vuelo"], "VueloKey") + 1,
-    )
-    return out | {"Vuelo": facts}
+def changed_dimension(
+    dim: DataFrame, members: DataFrame, table: str, load_date, area: StagingArea, kind: int
+) -> DataFrame:
+    """The whole dimension after a batch, with changing members of type 1 (overwritten) or 2 (versions)."""
+    args = (dim, members, star.NATURAL_KEYS[table], star.ATTRIBUTES[table], f"{table}Key")
+    if kind == 2:
+        return scd2(*args, load_date, area)
+    fresh = F.col("Fecha_Inicio").isNull()
+    return scd1(*args, area).withColumns({
+        c: F.when(fresh, value).otherwise(F.col(c)) for c, value in star.since(load_date).items()
+    }).select(dim.columns)
 
 
 def load_log(
     tables: Mapping[str, DataFrame], refused: DataFrame, batch: str, load_date, absent: Sequence[str] = ()
 ) -> DataFrame:
-    """``load_metadata`` with the rows refused, the largest key, and the lookups that were not delivered."""
+    """``load_metadata`` with the rows refused, the largest key, lines that could not be read, and absent lookups."""
     keys = None
     for name, df in tables.items():
         row = df.agg(F.max(f"{name}Key").cast("bigint").alias("clave_max")).select(
@@ -249,11 +246,16 @@ def load_log(
         .select("lote", "tabla", "fecha_carga", "filas", F.coalesce("rechazadas", F.lit(0)).alias("rechazadas"),
                 "clave_max", F.lit("cargada").alias("estado"))
     )
+    unread = refused.where((F.col("lote") == batch) & ~F.col("tabla").isin(*tables)).groupBy("tabla").agg(
+        F.count("*").alias("rechazadas")
+    ).select(F.lit(batch).alias("lote"), "tabla", F.lit(str(load_date)).cast("date").alias("fecha_carga"),
+             F.lit(0).cast("bigint").alias("filas"), "rechazadas", F.lit(None).cast("bigint").alias("clave_max"),
+             F.lit("rechazada").alias("estado"))
     missing = loaded.sparkSession.createDataFrame(
         [(batch, name, str(load_date), 0, 0, None, "ausente") for name in absent],
         "lote string, tabla string, fecha_carga string, filas bigint, rechazadas bigint, clave_max bigint, estado string",
     )
-    return loaded.unionByName(missing.withColumn("fecha_carga", F.col("fecha_carga").cast("date")))
+    return loaded.unionByName(unread).unionByName(missing.withColumn("fecha_carga", F.col("fecha_carga").cast("date")))
 
 
 def load_metadata(tables: Mapping[str, DataFrame], batch: str, load_date) -> DataFrame:

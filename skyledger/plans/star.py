@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyledger.functions.measures import season_label
+from skyledger.operators.asof import attach_as_of, open_beginning
 from skyledger.operators.joins import attach
 from skyledger.operators.keys import dense_key
 from skyledger.operators.rows import order_key
 from skyledger.schemas import STAR, STAR_LENGTHS
-from skyledger.sources.tables import stage_overwrite
+from skyledger.sources.warehouse import Load, Warehouse
 from skyledger.staging import StagingArea
 
 #: Warehouse column <- cleaned column, in the order of the fact.
@@ -36,6 +37,12 @@ NATURAL_KEYS = {
     "Transportista": ("CarrierNombre",),
     "Aeropuerto": ("Nombre",),
 }
+#: What can change about a member.
+ATTRIBUTES = {
+    "Tiempo": (),
+    "Transportista": ("CarrierGrupo", "Region"),
+    "Aeropuerto": ("Ciudad", "Pais"),
+}
 
 
 def since(load_date: str | date) -> dict[str, Column]:
@@ -115,19 +122,37 @@ def dim_transportista(clean: DataFrame, load_date, area: StagingArea) -> DataFra
 # -- fact -----------------------------------------------------------------------------------
 
 
-def resolve_keys(clean: DataFrame, dims: Mapping[str, DataFrame], area: StagingArea) -> DataFrame:
-    """The cleaned rows with their four dimension keys; the number of rows does not change."""
+def month_end() -> Column:
+    """The last day of a cleaned row's month; none if there is no such month."""
+    return F.when(F.col("Month").between(1, 12), F.last_day(F.make_date("Year", "Month", F.lit(1))))
+
+
+def resolve_keys(
+    clean: DataFrame, dims: Mapping[str, DataFrame], area: StagingArea, versioned: Collection[str] = ()
+) -> DataFrame:
+    """The cleaned rows with their four dimension keys; the number of rows does not change.
+
+    A ``versioned`` dimension holds several versions of a member: a row gets the one
+    that was valid at the end of its month, the first one also before it began.
+    """
     tiempo = dims["Tiempo"].select(F.col("Anio").alias("Year"), F.col("Mes").alias("Month"), "TiempoKey")
-    carrier = dims["Transportista"].select(
-        F.col("CarrierNombre").alias("UniqueCarrierName"), "TransportistaKey"
-    )
     df = attach(clean, tiempo, ["Year", "Month"], area, name="keys-tiempo")
-    df = attach(df, carrier, ["UniqueCarrierName"], area, name="keys-transportista")
-    airports = area.table(dims["Aeropuerto"].select("Nombre", "AeropuertoKey"), "keys-aeropuerto")
-    rows = airports.count()
-    for end, key in (("Origin", "AeropuertoOrigenKey"), ("Dest", "AeropuertoDestinoKey")):
-        role = airports.select(F.col("Nombre").alias(end), F.col("AeropuertoKey").alias(key))
-        df = attach(df, role, [end], area, rows=rows)
+    roles = [("Transportista", "UniqueCarrierName", "TransportistaKey"),
+             ("Aeropuerto", "Origin", "AeropuertoOrigenKey"), ("Aeropuerto", "Dest", "AeropuertoDestinoKey")]
+    members, rows = {}, {}
+    for name, column, key in roles:
+        natural, surrogate = NATURAL_KEYS[name][0], f"{name}Key"
+        if name not in members:
+            wanted = [natural, surrogate, *(("Fecha_Inicio", "Fecha_Fin") if name in versioned else ())]
+            members[name] = area.table(dims[name].select(*wanted), f"keys-{name}")
+            rows[name] = members[name].count()
+        role = members[name].withColumnsRenamed({natural: column, surrogate: key})
+        if name in versioned:
+            versions = open_beginning(role, [column], "Fecha_Inicio")
+            dated = df.withColumn("_moment", month_end())
+            df = attach_as_of(dated, versions, [column], "_moment", "Fecha_Inicio", "Fecha_Fin", key, area).drop("_moment")
+        else:
+            df = attach(df, role, [column], area, rows=rows[name])
     return df
 
 
@@ -189,14 +214,18 @@ def violations(table: str) -> Column:
 
 
 def repeated_members(table: str, dim: DataFrame) -> DataFrame:
-    """Adds a reason to members whose natural key an earlier member has; one row per member, so no key is hot."""
+    """Adds a reason to members whose natural key an earlier member has; one row per member, so no key is hot.
+
+    Closed versions of a member share its natural key.
+    """
     if table not in NATURAL_KEYS:
         return dim
     key = NATURAL_KEYS[table]
-    turn = F.row_number().over(Window.partitionBy(*key).orderBy(f"{table}Key"))
+    current = F.col("Fila_Activa") if "Fila_Activa" in dim.columns else F.lit(True)
+    turn = F.row_number().over(Window.partitionBy(*key, current).orderBy(f"{table}Key"))
     again = F.array(F.lit(f"repeated {', '.join(key)}"))
     return dim.withColumn("_turn", turn).withColumn(
-        "reasons", F.when(F.col("_turn") > 1, F.concat("reasons", again)).otherwise(F.col("reasons"))
+        "reasons", F.when((F.col("_turn") > 1) & current, F.concat("reasons", again)).otherwise(F.col("reasons"))
     ).drop("_turn")
 
 
@@ -268,15 +297,25 @@ def rejects(table: str, rejected: DataFrame, batch: str) -> DataFrame:
 
 def read_rejects(spark: SparkSession, target: str) -> DataFrame:
     """Refused rows of all loads; there may be none."""
-    schema = "lote string, tabla string, fila string, motivos array<string>"
-    return spark.read.schema(schema).parquet(f"{target}/{REJECTS}")
+    return Warehouse(spark, target).read(REJECTS)
 
 
 def load_dw(
     clean: DataFrame, target: str, load_date, area: StagingArea, default_zero: bool = True,
     batch: str = "full", written: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write the four tables, replacing what was there; facts are foldered by load and year.
+    """Load the four tables in place of what was there, all of them or none; facts are foldered by load and year."""
+    load = Warehouse(clean.sparkSession, target).begin()
+    tables = write_star(load, clean, load_date, area, default_zero, batch, written)
+    load.commit()
+    return tables
+
+
+def write_star(
+    load: Load, clean: DataFrame, load_date, area: StagingArea, default_zero: bool = True,
+    batch: str = "full", written: bool = False,
+) -> dict[str, DataFrame]:
+    """The four tables as part of ``load``.
 
     Facts are resolved against accepted members only, so a fact of a refused
     member is refused itself. Every refused row of the four tables goes to
@@ -286,15 +325,14 @@ def load_dw(
     tables, refused = {}, []
     for name, members in build_dims(clean, load_date, area).items():
         accepted, rejected = dw_contract(name, members)
-        tables[name] = stage_overwrite(accepted, target, name)
+        tables[name] = load.replace(accepted, name)
         refused.append(rejects(name, rejected, batch))
     facts = fact_vuelo(resolve_keys(clean, tables, area), area)
     accepted, rejected = dw_contract("Vuelo", facts, default_zero)
     refused.append(rejects("Vuelo", rejected, batch))
-    stage_overwrite(with_year(accepted, tables["Tiempo"], area).withColumn("lote", F.lit(batch)),
-                    target, "Vuelo", "lote", "Anio")
-    stage_overwrite(reduce(DataFrame.unionByName, refused), target, REJECTS, "lote")
-    facts = clean.sparkSession.read.parquet(f"{target}/Vuelo")
+    dated = with_year(accepted, tables["Tiempo"], area).withColumn("lote", F.lit(batch))
+    facts = load.replace(dated, "Vuelo", "lote", "Anio")
+    load.replace(reduce(DataFrame.unionByName, refused), REJECTS, "lote")
     return tables | {"Vuelo": facts.select(*accepted.columns)}
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger import fixed_values as fv
 from skyledger.functions.text import strip
-from skyledger.sources.files import scan_fact_csv, scan_lookups
+from skyledger.schemas import FACT_RAW
+from skyledger.sources.files import lookup_schema, null_tokens, present_lookups, refused_lines, scan_csv, typed_fact
 from skyledger.staging import StagingArea
 
 
@@ -30,14 +31,21 @@ def scan_table(
     return scan if like is None else scan.select(*like.columns)
 
 
-def extract(spark: SparkSession, source: str, staging: str, area: StagingArea) -> dict[str, DataFrame]:
-    """Files -> staging tables: the lookups that are there, then the fact."""
-    tables = {
-        name: stage_overwrite(lookup, staging, name)
-        for name, lookup in scan_lookups(spark, source, area=area).items()
-    }
-    fact = scan_fact_csv(spark, f"{source}/{fv.FACT_FILE}", area)
-    return tables | {fv.FACT_TABLE: stage_overwrite(fact, staging, fv.FACT_TABLE)}
+REFUSED = "stg_rechazos"
+
+
+def extract(
+    spark: SparkSession, source: str, staging: str, area: StagingArea, multi_line: bool = False
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Files -> staging tables (the lookups that are there, then the fact), and the lines that could not be read."""
+    tables, refused = {}, []
+    for name, path in (present_lookups(spark, source) | {fv.FACT_TABLE: f"{source}/{fv.FACT_FILE}"}).items():
+        schema = FACT_RAW if name == fv.FACT_TABLE else lookup_schema(path)
+        scan = scan_csv(spark, path, schema, area, multi_line)
+        rows = typed_fact(scan) if name == fv.FACT_TABLE else null_tokens(scan.rows)
+        tables[name] = stage_overwrite(rows, staging, name)
+        refused.append(refused_lines(scan.refused, name))
+    return tables, stage_overwrite(reduce(DataFrame.unionByName, refused), staging, REFUSED)
 
 
 def staging_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

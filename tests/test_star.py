@@ -1,13 +1,16 @@
 """Star load: contract, keys, later loads, and increments from a stream."""
 
-from datetime import date
+import random
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from skyledger.catalog import inputs
-from skyledger.plans import history as h, star
+from skyledger.operators import asof
+from skyledger.plans import etl, history as h, star
 from skyledger.plans.clean import clean
-from skyledger.sources import files, tables
+from skyledger.sources import files
+from skyledger.sources.warehouse import Warehouse
 from skyledger.streaming import increments
 
 SF = "/root/testdata/sf0.001"
@@ -74,25 +77,88 @@ def test_csv_scan_and_missing_lookup(spark, area):
 def test_stream_increments_load_once(spark, area):
     raw = inputs.segments(spark, SF)
     target, inbox, progress = area.path("dw"), area.path("inbox"), area.path("progress")
-    first = star.load_dw(cleaner(spark)(raw.where("Year < 1998"), area), target, "2024-01-15", area)
-    log = h.load_log(first, star.read_rejects(spark, target), "full", "2024-01-15")
-    tables.stage_overwrite(log, target, increments.LOG)
-    n = first["Vuelo"].count()
+    first = area.table(cleaner(spark)(raw.where("Year < 1998"), area), "clean")
+    etl.first_load(first, target, "2024-01-15", area)
+    house = Warehouse(spark, target)
+    n = house.read("Vuelo").count()
 
     raw.where("Year >= 1998").write.parquet(inbox)
     for _ in range(2):  # the second start finds nothing new
         increments.start(spark, inbox, target, progress, "2024-02-15", cleaner(spark)).awaitTermination()
-    facts = spark.read.parquet(f"{target}/Vuelo")
+    facts = house.read("Vuelo")
     total = facts.count()
     assert total > n
     assert facts.agg(F.max("VueloKey"), F.count_distinct("VueloKey")).first()[:] == (total, total)
-    assert spark.read.parquet(f"{target}/{increments.LOG}").count() == 8
-    increments.load_batch(raw.where("Year >= 1998"), "stream-0", target, "2024-02-15", cleaner(spark))
-    assert spark.read.parquet(f"{target}/Vuelo").count() == total
-    dims = {t: spark.read.parquet(f"{target}/{t}") for t in increments.DIMENSIONS}
+    assert house.read(increments.LOG).count() == 8
+    batch = house.read(increments.LEDGER).first()["lote"]
+    increments.load_batch(raw.where("Year >= 1998"), batch, target, "2024-02-15", cleaner(spark))
+    assert house.read("Vuelo").count() == total
+    dims = {t: house.read(t) for t in increments.DIMENSIONS}
     assert star.orphans(facts, dims).count() == 0
 
 
+def test_changing_members_in_a_batch(spark, area):
+    """Type 2: a changed member gets a version, and facts the one that was valid in their month; type 1 overwrites."""
+    raw = inputs.segments(spark, SF).where("row_id % 5 = 0")
+    target = area.path("dw")
+    first = area.table(cleaner(spark)(raw.where("Year < 1996"), area), "clean")
+    etl.first_load(first, target, "1996-01-15", area)
+    later = raw.where("Year between 1996 and 1997").withColumns({
+        "CarrierGroupNew": F.when(F.col("AirlineID") % 2 == 0, F.lit("X")).otherwise(F.col("CarrierGroupNew")),
+        "OriginCountryName": F.lit("Elsewhere"),
+    })
+    changing = {"Transportista": 2, "Aeropuerto": 1}
+    for _ in range(2):
+        increments.load_batch(later, "2", target, "1997-01-01", cleaner(spark), changing=changing)
+    house = Warehouse(spark, target)
+    carriers, airports = house.read("Transportista"), house.read("Aeropuerto")
+    versions = {}
+    for r in carriers.orderBy("TransportistaKey").collect():
+        versions.setdefault(r.CarrierNombre, []).append(r)
+    changed = {name: v for name, v in versions.items() if len(v) == 2}
+    assert changed and all([v.Fila_Activa for v in vs] == [False, True] and str(vs[0].Fecha_Fin) == "1996-12-31" and
+                           str(vs[1].Fecha_Inicio) == "1997-01-01" for vs in changed.values())
+    assert airports.where("Pais = 'Elsewhere'").count() > 0
+    assert airports.groupBy("Nombre").count().where("count > 1").count() == 0
+    facts = house.read("Vuelo").where("lote = '2'").join(carriers, "TransportistaKey")
+    years = {(r.CarrierNombre, r.Anio, r.TransportistaKey) for r in facts.select("CarrierNombre", "Anio", "TransportistaKey").distinct().collect()}
+    for name, vs in changed.items():
+        assert {k for n, y, k in years if n == name and y == 1996} <= {vs[0].TransportistaKey}
+        assert {k for n, y, k in years if n == name and y == 1997} <= {vs[1].TransportistaKey}
+    assert {y for n, y, k in years if n in changed} == {1996, 1997}
+    assert star.orphans(house.read("Vuelo"), {t: house.read(t) for t in increments.DIMENSIONS}).count() == 0
+
+
+def test_as_of_equals_brute_force(spark, area):
+    rnd = random.Random(7)
+    day = lambda: date(2000, 1, 1) + timedelta(rnd.randrange(1200))
+    versions = []
+    for key in (None, "a", "b", "c"):
+        starts = sorted({day() for _ in range(6)})
+        for i, start in enumerate(starts):
+            end = starts[i + 1] - timedelta(1) if i + 1 < len(starts) else rnd.choice([None, start + timedelta(90)])
+            versions.append((key, start, end, len(versions)))
+    versions += [("d", None, None, 100), ("e", date(2001, 5, 5), None, 102), ("e", date(2001, 5, 5), None, 101)]
+    points = [(rnd.choice([None, "a", "b", "c", "d", "e", "f"]), day()) for _ in range(800)] + [("a", None), (None, None)]
+    points += [(k, s) for k, s, _, _ in versions] + points[:20]
+    held = spark.createDataFrame(versions, "k string, since date, until date, v int")
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, k string, at date").repartition(3)
+
+    def valid(key, at):
+        begun = [v for v in versions if v[0] == key and at and (v[1] is None or v[1] <= at)]
+        last = max(begun, key=lambda v: (v[1] or date.min, v[3]), default=None)
+        return last[3] if last and (last[2] is None or last[2] >= at) else None
+
+    for unit in ("year", "month"):
+        found = asof.as_of(df, held, ["k"], "at", "since", "until", "v", unit)
+        got = {(r.k, r["at"]): r.v for r in found.collect()}
+        assert got == {p: valid(*p) for p in points}
+    joined = asof.attach_as_of(df, held, ["k"], "at", "since", "until", "v", area)
+    assert [r.v for r in joined.orderBy("i").collect()] == [valid(*p) for p in points]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_contract_tells_overflow_from_missing(spark):
     df = spark.createDataFrame([(1, 25.0, "S"), (2, None, "S"), (3, 0.5, None)], "VueloKey long, OcupPasajeros double, tipoServicio string")
     required = [c for c, _, need in star.STAR["Vuelo"] if need and c not in df.columns]
