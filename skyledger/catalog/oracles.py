@@ -741,21 +741,28 @@ def oracles() -> dict[str, str]:
     o["x_atomic_reload"] = sql(
         _union(totals("before", early), totals("broken", early), totals("after", keyed)), whole_star(),
         [("early", f"SELECT * FROM p_clean WHERE Year < {SPLIT_YEAR}")], dims("early", "e"), resolved("early", "e_res", "e"), fact("e_res", "e_vuelo"))
-    o["x_incremental_load"] = sql(
-        f"SELECT {typed}, '1' AS lote FROM v1 UNION ALL SELECT {typed}, '2' AS lote FROM v2",
-        [("raw1", f"SELECT * FROM t100 WHERE Year < {SPLIT_YEAR}"), ("raw2", f"SELECT * FROM t100 WHERE Year >= {SPLIT_YEAR}")],
-        all_rules("raw1", "p"), all_rules("raw2", "q"), dims("p_clean"), resolved("p_clean", "res1"), fact("res1", "v1"),
-        [
-            ("i_tiempo", "SELECT * FROM d_tiempo UNION ALL SELECT " + key("Anio, Mes", "TiempoKey", "(SELECT max(TiempoKey) FROM d_tiempo)")
-             + f", * FROM ({tiempo_members('q_clean')}) m WHERE NOT EXISTS (SELECT 1 FROM d_tiempo d WHERE d.Anio = m.Anio AND d.Mes = m.Mes)"),
-            ("i_carrier", "SELECT TransportistaKey, CarrierNombre FROM d_carrier UNION ALL SELECT "
-             + key("CarrierNombre", "TransportistaKey", "(SELECT max(TransportistaKey) FROM d_carrier)")
-             + f", CarrierNombre FROM ({carrier_members('q_clean')}) m WHERE CarrierNombre NOT IN (SELECT CarrierNombre FROM d_carrier)"),
-            ("i_aero", "SELECT AeropuertoKey, Nombre FROM d_aero UNION ALL SELECT "
-             + key("Nombre", "AeropuertoKey", "(SELECT max(AeropuertoKey) FROM d_aero)")
-             + f", Nombre FROM ({aero_members('q_clean')}) m WHERE Nombre NOT IN (SELECT Nombre FROM d_aero)"),
-        ],
+    increment = [
+        ("i_tiempo", "SELECT * FROM d_tiempo UNION ALL SELECT " + key("Anio, Mes", "TiempoKey", "(SELECT max(TiempoKey) FROM d_tiempo)")
+         + f", * FROM ({tiempo_members('q_clean')}) m WHERE NOT EXISTS (SELECT 1 FROM d_tiempo d WHERE d.Anio = m.Anio AND d.Mes = m.Mes)"),
+        ("i_carrier", "SELECT TransportistaKey, CarrierNombre FROM d_carrier UNION ALL SELECT "
+         + key("CarrierNombre", "TransportistaKey", "(SELECT max(TransportistaKey) FROM d_carrier)")
+         + f", CarrierNombre FROM ({carrier_members('q_clean')}) m WHERE CarrierNombre NOT IN (SELECT CarrierNombre FROM d_carrier)"),
+        ("i_aero", "SELECT AeropuertoKey, Nombre FROM d_aero UNION ALL SELECT "
+         + key("Nombre", "AeropuertoKey", "(SELECT max(AeropuertoKey) FROM d_aero)")
+         + f", Nombre FROM ({aero_members('q_clean')}) m WHERE Nombre NOT IN (SELECT Nombre FROM d_aero)"),
+    ]
+    # p_clean is the first load, q_clean the second.
+    two_loads = lambda *clean: sql(
+        f"SELECT {typed}, '1' AS lote FROM v1 UNION ALL SELECT {typed}, '2' AS lote FROM v2", *clean,
+        dims("p_clean"), resolved("p_clean", "res1"), fact("res1", "v1"), increment,
         resolved("q_clean", "res2", "i"), fact("res2", "v2", "(SELECT max(VueloKey) FROM v1)"))
+    o["x_incremental_load"] = o["x_known_copies"] = o["x_stream_load"] = two_loads(
+        [("raw1", f"SELECT * FROM t100 WHERE Year < {SPLIT_YEAR}"), ("raw2", f"SELECT * FROM t100 WHERE Year >= {SPLIT_YEAR}")],
+        all_rules("raw1", "p"), all_rules("raw2", "q"))
+    middle = "(SELECT max(l_orderkey) * 4 FROM lineitem)"
+    o["x_evidence_load"] = two_loads(
+        [("raw1", f"SELECT * FROM t100 WHERE row_id < {middle}")], all_rules("raw1", "p"), all_rules("t100", "w"),
+        [("q_clean", f"SELECT * FROM w_clean WHERE row_id >= {middle}")])
     o["x_load_metadata"] = sql(_union(*[
         f"SELECT '1' AS lote, '{k}' AS tabla, DATE '{LOAD_DATE}' AS fecha_carga, count(*) AS filas, CAST(0 AS BIGINT) AS rechazadas, "
         f"CAST(max({k}Key) AS BIGINT) AS clave_max, 'cargada' AS estado FROM {v}" for k, v in keyed.items()

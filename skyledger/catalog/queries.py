@@ -882,19 +882,57 @@ def x_asof_keys(s: Source) -> DataFrame:
 
 
 def _cleaner(s: Source) -> Callable[..., DataFrame]:
-    return lambda raw, area: clean(raw, s.lookup("airports"), s.lookup("history"), area)
+    return lambda raw, area, known=None: clean(raw, s.lookup("airports"), s.lookup("history"), area, memory=known)
+
+
+def _first_load(s: Source, raw: DataFrame) -> tuple[str, DataFrame]:
+    """A warehouse with one load, and the load's log."""
+    folder, cleaner = s.area.path("dw"), _cleaner(s)
+    write = lambda rows, area, known: area.table(cleaner(rows, area, known), "clean")
+    return folder, etl.first_load(raw, folder, LOAD_DATE, s.area, write, "1")
+
+
+def _facts(s: Source, folder: str) -> DataFrame:
+    return Warehouse(s.spark, folder).read("Vuelo").drop("Anio")
 
 
 @query
 def x_incremental_load(s: Source) -> DataFrame:
     """The facts after a first load and one increment, with the load that brought them."""
-    raw, folder = s.segments, s.area.path("dw")
-    first = s.area.table(s.clean(raw.where(f"Year < {SPLIT_YEAR}")), "clean")
-    etl.first_load(first, folder, LOAD_DATE, s.area, "1")
+    raw = s.segments
+    folder, _ = _first_load(s, raw.where(f"Year < {SPLIT_YEAR}"))
     increments.load_batch(raw.where(f"Year >= {SPLIT_YEAR}"), "2", folder, NEXT_LOAD_DATE, _cleaner(s))
-    return Warehouse(s.spark, folder).read("Vuelo").drop("Anio")
+    return _facts(s, folder)
+
+
+@query
+def x_known_copies(s: Source) -> DataFrame:
+    """The same, though the increment brings all rows of the first load once more."""
+    folder, _ = _first_load(s, s.segments.where(f"Year < {SPLIT_YEAR}"))
+    increments.load_batch(s.segments, "2", folder, NEXT_LOAD_DATE, _cleaner(s), copies=True)
+    return _facts(s, folder)
+
+
+@query
+def x_evidence_load(s: Source) -> DataFrame:
+    """The facts after two loads, the second filling its gaps from what both know, as one load of everything would."""
+    middle = s.given("lineitem").agg(F.max("l_orderkey")).first()[0] * 4
+    folder, _ = _first_load(s, s.segments.where(f"row_id < {middle}"))
+    increments.load_batch(s.segments.where(f"row_id >= {middle}"), "2", folder, NEXT_LOAD_DATE, _cleaner(s), evidence=True)
+    return _facts(s, folder)
+
+
+@query
+def x_stream_load(s: Source) -> DataFrame:
+    """The facts after a first load and a stream of files that is started three times, each time without its progress."""
+    raw, inbox = s.segments, s.area.path("inbox")
+    folder, _ = _first_load(s, raw.where(f"Year < {SPLIT_YEAR}"))
+    raw.where(f"Year >= {SPLIT_YEAR}").write.parquet(inbox)
+    for _ in range(3):
+        increments.start(s.spark, inbox, folder, s.area.path("progress"), NEXT_LOAD_DATE, _cleaner(s)).awaitTermination()
+    return _facts(s, folder).withColumn("lote", F.when(F.col("lote") == "1", "1").otherwise("2"))
 
 
 @query
 def x_load_metadata(s: Source) -> DataFrame:
-    return etl.first_load(s.area.table(s.clean(), "clean"), s.area.path("dw"), LOAD_DATE, s.area, "1")
+    return _first_load(s, s.segments)[1]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -50,15 +51,15 @@ class Evidence:
         ]
 
 
-def gather(
+def pairs_of(
     df: DataFrame,
     specs: Sequence[Evidence],
     weight: str,
     order_by: Sequence[str] = (ROW_ID,),
 ) -> DataFrame:
-    """One row per (evidence, key) with the value each way of picking would choose."""
+    """One row per (evidence, key, value): its rows, the first of them in row order, and their weight."""
     entries = [column for spec in specs for column in spec.entry()]
-    pairs = (
+    return (
         df.select(
             F.stack(F.lit(len(specs)), *entries).alias("name", "key1", "key2", "value"),
             order_key(order_by).alias("_order"),
@@ -72,8 +73,16 @@ def gather(
             F.coalesce(F.sum("_weight"), F.lit(0)).alias("_w"),
         )
     )
-    numbers = [s.name for s in specs if not isinstance(df.schema[s.value].dataType, T.StringType)]
-    smallest = (F.when(F.col("name").isin(numbers), F.col("value").try_cast("bigint")), F.col("value"))
+
+
+def numeric(df: DataFrame, specs: Sequence[Evidence]) -> list[str]:
+    """The names of the evidence tables whose values are numbers."""
+    return [s.name for s in specs if not isinstance(df.schema[s.value].dataType, T.StringType)]
+
+
+def picked(pairs: DataFrame, numbers: Sequence[str]) -> DataFrame:
+    """One row per (evidence, key) with the value each way of picking would choose."""
+    smallest = (F.when(F.col("name").isin(*numbers), F.col("value").try_cast("bigint")), F.col("value"))
     return pairs.groupBy("name", "key1", "key2").agg(
         F.min_by("value", F.struct("_seen", *smallest)).alias("first"),
         F.min_by("value", F.struct(-F.col("_n"), *smallest)).alias("mode"),
@@ -82,6 +91,47 @@ def gather(
     )
 
 
+def gather(
+    df: DataFrame,
+    specs: Sequence[Evidence],
+    weight: str,
+    order_by: Sequence[str] = (ROW_ID,),
+) -> DataFrame:
+    return picked(pairs_of(df, specs, weight, order_by), numeric(df, specs))
+
+
+class Memory:
+    """Counters per (evidence, key, value) that outlive a load.
+
+    The counters of loads add up, so a load only writes its own, for the keys its
+    rows have; what all loads know is their sum. Rows of earlier loads come before
+    those of later ones.
+    """
+
+    def __init__(self, load: int, stored: DataFrame | None, area: StagingArea):
+        """``stored``: what earlier loads have written, none if this is the first."""
+        self.load, self.stored, self.area = load, stored, area
+        self._own: list[DataFrame] = []
+
+    def with_own(self, pairs: DataFrame, names: Sequence[str]) -> DataFrame:
+        """This load's counters of some evidence tables, kept for ``own``, and those of the loads before, added up."""
+        own = self.area.table(pairs.withColumn("_load", F.lit(self.load).cast("bigint")), "own-evidence")
+        self._own.append(own)
+        known = own if self.stored is None else self.stored.where(F.col("name").isin(*names)).unionByName(own)
+        return added_up(known)
+
+    def own(self) -> DataFrame:
+        """What this load has to store."""
+        return reduce(DataFrame.unionByName, self._own)
+
+
+def added_up(stored: DataFrame) -> DataFrame:
+    """One row per (evidence, key, value) for all loads; ``_seen`` is the first load and the first row in it."""
+    return stored.groupBy("name", "key1", "key2", "value").agg(
+        F.sum("_n").alias("_n"), F.min(F.struct("_load", "_seen")).alias("_seen"), F.sum("_w").alias("_w")
+    )
+
+
 class EvidenceTables:
     """Written evidence, ready to be joined back with known sizes."""
 
@@ -92,11 +142,15 @@ class EvidenceTables:
         weight: str,
         area: StagingArea,
         order_by: Sequence[str] = (ROW_ID,),
+        memory: Memory | None = None,
     ):
         self.area = area
         self.specs = {spec.name: spec for spec in specs}
         self.types = dict(df.dtypes)
-        self.written = area.table(gather(df, specs, weight, order_by), "evidence")
+        pairs = pairs_of(df, specs, weight, order_by)
+        if memory:
+            pairs = memory.with_own(pairs, list(self.specs))
+        self.written = area.table(picked(pairs, numeric(df, specs)), "evidence")
         # One row per evidence table, so at most len(specs) rows.
         self.rows = {
             r["name"]: r["count"] for r in self.written.groupBy("name").count().collect()

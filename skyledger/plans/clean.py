@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyledger import fixed_values as fv
 from skyledger.functions.numbers import holds
-from skyledger.operators.evidence import Evidence, EvidenceTables
+from skyledger.operators.evidence import Evidence, EvidenceTables, Memory, pairs_of, picked
 from skyledger.operators.impute import FILL, fill_missing, fill_wrong
 from skyledger.plans import rules as r
 from skyledger.plans.derive import add_measures
@@ -42,6 +42,22 @@ def _specs() -> list[Evidence]:
     return specs
 
 
+def known_routes(df: DataFrame, order_by: Sequence[str], memory: Memory) -> DataFrame:
+    """``route_distances`` over this load and all before."""
+    spec = Evidence("route", r.ENDS, "Distance", "first", r.valid_distance())
+    pairs = memory.with_own(pairs_of(df, [spec], "Passengers", order_by), [spec.name])
+    return pairs.groupBy(F.col("key1").alias(r.ENDS[0]), F.col("key2").alias(r.ENDS[1])).agg(
+        F.max(F.col("value").cast("double")).alias(FILL)
+    )
+
+
+def known_ids(df: DataFrame, order_by: Sequence[str], memory: Memory) -> DataFrame:
+    """``known_airline_ids`` over this load and all before."""
+    spec = Evidence("airline_id", ("UniqueCarrier",), "AirlineID", "first", F.col("AirlineID") > 0)
+    pairs = memory.with_own(pairs_of(df, [spec], "Passengers", order_by), [spec.name])
+    return picked(pairs, [spec.name]).select(F.col("key1").alias("UniqueCarrier"), F.col("first").cast("int").alias(FILL))
+
+
 @dataclass
 class CleanRun:
     """A run's stages, kept so that the audit can count without repeating them."""
@@ -63,15 +79,18 @@ def run_rules(
     history: DataFrame,
     area: StagingArea,
     order_by: Sequence[str] = r.ROW_ORDER,
+    memory: Memory | None = None,
 ) -> CleanRun:
+    """Run the rules; with ``memory`` on what earlier loads know as well."""
     deduped = area.table(r.r10_dedupe(raw, order_by), "deduped")
 
-    routes = area.table(r.route_distances(deduped), "routes")
+    routes = area.table(known_routes(deduped, order_by, memory) if memory else r.route_distances(deduped), "routes")
     flown = r.use_route_distance(deduped, routes, area, rows=routes.count())
 
     coded = r.r17_unify_carrier(r.r01_suffix(r.r15_negative_freight(flown)))
     named = r.r02_names(coded)
-    ids = area.table(r.known_airline_ids(named, order_by), "airline-ids")
+    ids = known_ids(named, order_by, memory) if memory else r.known_airline_ids(named, order_by)
+    ids = area.table(ids, "airline-ids")
     identified = r.use_airline_ids(named, ids, area, rows=ids.count())
 
     # Everything up to the next evidence changes a row from its own columns only.
@@ -80,7 +99,7 @@ def run_rules(
     prepared = r.r08_times(r.r06_cap_passengers(r.r05_cap_departures(prepared)))
     prepared = r.region_tokens_to_null(prepared)
 
-    known = EvidenceTables(prepared, _specs(), "Passengers", area, order_by)
+    known = EvidenceTables(prepared, _specs(), "Passengers", area, order_by, memory)
     df = known.join(prepared, "UniqueCarrier")
     df = fill_missing(df, "Class", "_class")
     df = r.assign_dominant_id(df, "_dominant_id")
@@ -115,6 +134,7 @@ def clean(
     history: DataFrame,
     area: StagingArea,
     order_by: Sequence[str] = r.ROW_ORDER,
+    memory: Memory | None = None,
 ) -> DataFrame:
     """Raw segments -> cleaned segments with audit columns and measures."""
-    return add_measures(run_rules(raw, airports, history, area, order_by).final)
+    return add_measures(run_rules(raw, airports, history, area, order_by, memory).final)

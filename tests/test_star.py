@@ -6,9 +6,11 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from skyledger.catalog import inputs
-from skyledger.operators import asof
-from skyledger.plans import etl, history as h, star
+from skyledger.operators import asof, seen
+from skyledger.operators.evidence import added_up
+from skyledger.plans import etl, history as h, memory, star
 from skyledger.plans.clean import clean
+from skyledger.schemas import FACT_COLUMNS
 from skyledger.sources import files
 from skyledger.sources.warehouse import Warehouse
 from skyledger.streaming import increments
@@ -17,12 +19,16 @@ SF = "/root/testdata/sf0.001"
 
 
 def cleaner(spark):
-    def run(raw, area):
-        return clean(raw, inputs.lookup(spark, SF, "airports"), inputs.lookup(spark, SF, "history"), area)
+    def run(raw, area, known=None):
+        return clean(raw, inputs.lookup(spark, SF, "airports"), inputs.lookup(spark, SF, "history"), area, memory=known)
 
     return run
 
 
+def first_load(spark, raw, target, load_date, area):
+    return etl.first_load(raw, target, load_date, area, lambda *args: area.table(cleaner(spark)(*args), "clean"))
+
+
 def test_contract_names_every_reason(spark):
     rows = [(1, 1, "Invierno", 2000), (2, 13, None, 1980), (3, None, "x" * 21, 2000)]
     df = spark.createDataFrame(rows, "TiempoKey int, Mes int, Estacion string, Anio int")
@@ -77,8 +83,7 @@ def test_csv_scan_and_missing_lookup(spark, area):
 def test_stream_increments_load_once(spark, area):
     raw = inputs.segments(spark, SF)
     target, inbox, progress = area.path("dw"), area.path("inbox"), area.path("progress")
-    first = area.table(cleaner(spark)(raw.where("Year < 1998"), area), "clean")
-    etl.first_load(first, target, "2024-01-15", area)
+    first_load(spark, raw.where("Year < 1998"), target, "2024-01-15", area)
     house = Warehouse(spark, target)
     n = house.read("Vuelo").count()
 
@@ -101,8 +106,7 @@ def test_changing_members_in_a_batch(spark, area):
     """Type 2: a changed member gets a version, and facts the one that was valid in their month; type 1 overwrites."""
     raw = inputs.segments(spark, SF).where("row_id % 5 = 0")
     target = area.path("dw")
-    first = area.table(cleaner(spark)(raw.where("Year < 1996"), area), "clean")
-    etl.first_load(first, target, "1996-01-15", area)
+    first_load(spark, raw.where("Year < 1996"), target, "1996-01-15", area)
     later = raw.where("Year between 1996 and 1997").withColumns({
         "CarrierGroupNew": F.when(F.col("AirlineID") % 2 == 0, F.lit("X")).otherwise(F.col("CarrierGroupNew")),
         "OriginCountryName": F.lit("Elsewhere"),
@@ -222,3 +226,42 @@ def test_rows_keep_the_order_of_their_files(spark, area):
             assert read.select("row_id").distinct().count() == len(expected)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_of_earlier_loads_are_not_loaded_again(spark, area):
+    """Only suspects' buckets of the digests are read; a row that differs in a null is another row."""
+    raw = inputs.segments(spark, SF).where("row_id % 5 = 0")
+    target = area.path("dw")
+    first_load(spark, raw.where("Year < 1996"), target, "2024-01-15", area)
+    house = Warehouse(spark, target)
+    n, digests = house.read("Vuelo").count(), house.read(memory.DIGESTS).count()
+    assert digests == raw.where("Year < 1996").drop("row_id").distinct().count()
+    again = raw.where("Year < 1996").withColumn("row_id", F.col("row_id") + 7)
+    increments.load_batch(again, "again", target, "2024-02-15", cleaner(spark), copies=True)
+    assert (house.read("Vuelo").count(), house.read(memory.DIGESTS).count()) == (n, digests)
+    changed = again.limit(3).withColumn("Mail", F.lit(None).cast("double"))
+    load = house.begin()
+    assert memory.new_rows(load, again.unionByName(changed), area).count() == changed.count()
+    bits = seen.filters(area.table(seen.digests(seen.digested(raw, FACT_COLUMNS)), "own"))
+    other = seen.digests(seen.digested(raw.withColumn("Mail", F.lit(5.5)), FACT_COLUMNS))
+    assert seen.maybe_known(other, bits).count() < 0.2 * other.count()
+
+
+def test_evidence_of_two_loads_adds_up(spark, area):
+    """A batch that knows nothing itself fills its gaps from the load before; only its own counters are written."""
+    raw = inputs.segments(spark, SF).where("row_id % 5 = 0")
+    target = area.path("dw")
+    first_load(spark, raw, target, "2024-01-15", area)
+    house = Warehouse(spark, target)
+    before = house.manifest()["tables"][memory.EVIDENCE]["folders"]
+    blind = raw.where("Class IS NOT NULL AND trim(Class) <> ''").limit(40).withColumns({"Class": F.lit(None).cast("string"), "row_id": F.col("row_id") + 10**6})
+    increments.load_batch(blind, "2", target, "2024-02-15", cleaner(spark), evidence=True)
+    facts = house.read("Vuelo").where("lote = '2'")
+    assert facts.count() > 0 and facts.where("tipoServicio IS NULL").count() == 0
+    after = house.manifest()["tables"][memory.EVIDENCE]["folders"]
+    assert after[:len(before)] == before and len(after) == len(before) + 1
+    stored = house.read(memory.EVIDENCE)
+    assert stored.where("_load = 2").count() < stored.where("_load = 1").count()
+    summed = {(r.name, r.key1, r.key2, r.value): (r._n, r._w) for r in added_up(stored).collect()}
+    for r in stored.groupBy("name", "key1", "key2", "value").agg(F.sum("_n").alias("n"), F.sum("_w").alias("w")).collect():
+        assert summed[r.name, r.key1, r.key2, r.value] == (r.n, r.w)
