@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyledger.llm.common import texts_of
+from skyledger.llm.common import sliced, texts_of
 from skyledger.staging import StagingArea
 
 SUPPORT, MOST_WORDS, TOP = 10, 3, 2000
@@ -44,8 +44,9 @@ SCORE_UNIT = 1_000_000
 UNKNOWN = "und"
 #: A bitmap has about 16 bits per entry, and these at most and at least.
 MOST_BITS, LEAST_BITS = 28, 16
-_LOT = 4 << 20
-_ENTRIES_IN_A_TASK = 1 << 21
+_LOT = 1 << 20
+_ENTRIES_IN_A_TASK = 1 << 19
+_ROWS_AT_ONCE = 1 << 16
 #: Bits of a hash that tell shards apart while one is mined.
 _SHARD_BITS = 8
 
@@ -177,7 +178,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
     held, size = [], 0
-    for batch in batches:
+    for batch in sliced(batches, "text", _LOT):
         columns = texts_of(batch.column("text")), batch.column("lang").to_pylist(), batch.column("shard").to_pylist()
         for text, lang, shard in zip(*columns):
             for part in _parts(text):
@@ -215,13 +216,15 @@ def _mined(n: int, shorter: Slots | None):
                 held = counted(held)
                 waiting = len(held[0][0])
                 if waiting > _ENTRIES_IN_A_TASK // 2:
-                    yield rows(held[0])
+                    yield from rows(*held[0])
                     held, waiting = [], 0
         if held:
-            yield rows(counted(held)[0])
+            yield from rows(*counted(held)[0])
 
-    def rows(found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), pa.array(found[1])], ["h", "times"])
+    def rows(h: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(h), _ROWS_AT_ONCE):
+            part = slice(at, at + _ROWS_AT_ONCE)
+            yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(times[part])], ["h", "times"])
 
     return run
 
