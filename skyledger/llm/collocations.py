@@ -42,10 +42,12 @@ SHARDS = 3
 HELD_PERCENT = 50
 SCORE_UNIT = 1_000_000
 UNKNOWN = "und"
-#: A bitmap has about 16 bits per entry, and these at most and at least.
+#: A bitmap has at least 32 bits per entry, and these at most and at least.
 MOST_BITS, LEAST_BITS = 28, 16
 _LOT = 1 << 20
-_ENTRIES_IN_A_TASK = 1 << 19
+#: Bytes whose candidates are counted together before they leave a task.
+_COUNTED_LOT = 3 << 20
+_ENTRIES_IN_A_TASK = 1 << 20
 _ROWS_AT_ONCE = 1 << 16
 #: Bits of a hash that tell shards apart while one is mined.
 _SHARD_BITS = 8
@@ -135,13 +137,13 @@ class Lot:
 
 
 class Slots:
-    """A bitmap over the upper bits of hashes: what was put in is always found."""
+    """A bitmap over two slots of each hash: what was put in is always found."""
 
     def __init__(self, found: DataFrame, h: str):
         entries = max(1, found.count())
-        self.bits = bits = min(MOST_BITS, max(LEAST_BITS, (16 * entries - 1).bit_length()))
-        slot = F.shiftrightunsigned(h, 64 - bits)
-        words = found.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(
+        self.bits = bits = min(MOST_BITS, max(LEAST_BITS, (32 * entries - 1).bit_length()))
+        upper, lower = F.shiftrightunsigned(h, 64 - bits), F.shiftrightunsigned(h, _SHARD_BITS).bitwiseAND(F.lit((1 << bits) - 1))
+        words = found.select(F.explode(F.array(upper, lower)).alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(
             F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("set")
         ).toArrow()  # 2^(MOST_BITS - 6) rows at most
         filled = np.zeros(1 << bits - 6, np.uint64)
@@ -149,7 +151,11 @@ class Slots:
         self.value = found.sparkSession.sparkContext.broadcast(filled)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
-        slot = h >> np.uint64(64 - self.bits)
+        held = self._set(h >> np.uint64(64 - self.bits))
+        held[held] = self._set((h[held] >> np.uint64(_SHARD_BITS)) & np.uint64((1 << self.bits) - 1))
+        return held
+
+    def _set(self, slot: np.ndarray) -> np.ndarray:
         return (self.value.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -176,7 +182,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[start:]
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
+def _lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Lot]:
     held, size = [], 0
     for batch in sliced(batches, "text", _LOT):
         columns = texts_of(batch.column("text")), batch.column("lang").to_pylist(), batch.column("shard").to_pylist()
@@ -184,7 +190,7 @@ def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
             for part in _parts(text):
                 held.append((part, lang, shard))
                 size += len(part)
-                if size >= _LOT:
+                if size >= most:
                     yield Lot(*map(list, zip(*held)))
                     held, size = [], 0
     if held:
@@ -201,7 +207,7 @@ def _mined(n: int, shorter: Slots | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
-        for lot in _lots(batches):
+        for lot in _lots(batches, _LOT):
             at, h = lot.phrases(n)
             if shorter is not None:
                 places, parts = lot.phrases(n - 1)
@@ -248,7 +254,7 @@ def _exactly(candidates: Slots):
     """(lang, phrase, n, times) of a task's candidates, and each lang's number of words as n = 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lot in _lots(batches):
+        for lot in _lots(batches, _COUNTED_LOT):
             words = np.bincount(lot.lang, minlength=len(lot.langs))
             yield rows(lot.langs, [""] * len(words), 0, words.tolist())
             for n in range(1, MOST_WORDS + 1):
