@@ -711,6 +711,9 @@ def oracles() -> dict[str, str]:
     o["x_referential_check"] = sql(
         "SELECT 'TiempoKey' AS columna, v.TiempoKey AS valor, count(*) AS filas FROM vuelo v JOIN d_tiempo t "
         f"ON v.TiempoKey = t.TiempoKey WHERE t.Anio >= {SPLIT_YEAR} GROUP BY ALL", whole_star())
+    o["x_orphan_keys"] = sql(
+        "SELECT DISTINCT 'TiempoKey' AS columna, CAST(v.TiempoKey AS BIGINT) AS valor FROM vuelo v JOIN d_tiempo t "
+        f"ON v.TiempoKey = t.TiempoKey WHERE t.Anio >= {SPLIT_YEAR}", whole_star())
     o["x_reject_log"] = sql(_union(
         "SELECT VueloKey, TiempoKey, 'Carga is null' AS reason FROM vuelo WHERE Carga IS NULL",
         "SELECT VueloKey, TiempoKey, 'tipoServicio is null' FROM vuelo WHERE tipoServicio IS NULL"), whole_star())
@@ -719,6 +722,7 @@ def oracles() -> dict[str, str]:
         "SELECT CarrierNombre, 'new' AS state FROM unseen_c", "SELECT CarrierNombre, 'changed' FROM changed_c",
         f"SELECT CarrierNombre, 'absent' FROM old_c WHERE NOT {known.format(t='new_c')}",
         f"SELECT CarrierNombre, 'unchanged' FROM old_c WHERE {known.format(t='new_c')} AND NOT {known.format(t='changed_c')}"), CARRIER_LOADS)
+    o["x_hash_changes"] = o["x_change_detect"]
     o["x_upsert"] = sql(f"SELECT * FROM new_c UNION ALL SELECT * FROM old_c WHERE NOT {known.format(t='new_c')}", CARRIER_LOADS)
     o["x_scd1"] = sql(_union(
         "SELECT TransportistaKey, CarrierNombre, CASE WHEN fed THEN new_grupo ELSE CarrierGrupo END AS CarrierGrupo, "
@@ -763,6 +767,21 @@ def oracles() -> dict[str, str]:
     o["x_evidence_load"] = two_loads(
         [("raw1", f"SELECT * FROM t100 WHERE row_id < {middle}")], all_rules("raw1", "p"), all_rules("t100", "w"),
         [("q_clean", f"SELECT * FROM w_clean WHERE row_id >= {middle}")])
+    months = "(Anio = 1995 AND Mes = 3) OR (Anio = 1996 AND Mes = 7)"
+    turn = "row_number() OVER (PARTITION BY Anio, Mes ORDER BY row_id, Payload, Passengers)"
+    o["x_correct_months"] = sql(
+        f"SELECT VueloKey, Anio, Mes, row_id, Seats, Passengers, Payload FROM keyed WHERE NOT ({months}) UNION ALL "
+        "SELECT CAST(coalesce(k.VueloKey, (SELECT max(VueloKey) FROM keyed) + row_number() OVER (PARTITION BY k.VueloKey IS NULL "
+        "ORDER BY l.Anio, l.Mes, l.turn)) AS BIGINT), l.Anio, l.Mes, l.row_id, l.Seats, l.Passengers, l.Payload "
+        "FROM late l LEFT JOIN keyed k ON k.Anio = l.Anio AND k.Mes = l.Mes AND k.turn = l.turn",
+        [("monthly", "SELECT Year AS Anio, Month AS Mes, row_id, Seats, Passengers, Payload FROM t100"),
+         ("keyed", f"SELECT *, {turn} AS turn, CAST(row_number() OVER (ORDER BY Anio, Mes, row_id, Payload, Passengers) AS BIGINT) AS VueloKey FROM monthly"),
+         ("late", f"SELECT *, {turn} AS turn FROM (SELECT * REPLACE (Seats + 1 AS Seats) FROM monthly "
+                  f"WHERE ({months}) AND (Anio = 1996 OR row_id % 5 <> 0) UNION ALL SELECT * REPLACE (row_id + 1000000000 AS row_id) FROM monthly "
+                  "WHERE Anio = 1996 AND Mes = 7 AND row_id % 3 = 0)")])
+    o["x_merged_profile"] = sql(_union(*[
+        f"SELECT '{c}' AS columna, count(*) AS filas, count(*) - count({c}) AS nulos, true AS distintos_en_margen FROM t100"
+        for c in ("UniqueCarrier", "OriginAirportSeqID", "AirlineID", "Passengers", "Payload", "CarrierRegion")]))
     o["x_load_metadata"] = sql(_union(*[
         f"SELECT '1' AS lote, '{k}' AS tabla, DATE '{LOAD_DATE}' AS fecha_carga, count(*) AS filas, CAST(0 AS BIGINT) AS rechazadas, "
         f"CAST(max({k}Key) AS BIGINT) AS clave_max, 'cargada' AS estado FROM {v}" for k, v in keyed.items()

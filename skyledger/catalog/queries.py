@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,8 +12,9 @@ from skyledger.catalog import inputs
 from skyledger.functions import measures as m, text
 from skyledger.functions.numbers import to_number
 from skyledger.operators.keys import dense_key as number
+from skyledger.operators import bitmaps, changes
 from skyledger.operators.asof import attach_as_of
-from skyledger.plans import audit, etl, history as h, lookups as lk, rules as r, star, variants as v
+from skyledger.plans import audit, corrections, etl, history as h, lookups as lk, profiles, rules as r, star, variants as v
 from skyledger.plans.clean import clean, run_rules
 from skyledger.plans.derive import add_measures
 from skyledger.schemas import FACT_COLUMNS, FACT_RAW
@@ -829,6 +831,14 @@ def x_referential_check(s: Source) -> DataFrame:
     return star.orphans(tables["Vuelo"], early)
 
 
+@query
+def x_orphan_keys(s: Source) -> DataFrame:
+    """The orphans of the check above, from bitmaps of keys."""
+    tables = s.star
+    early = tables | {"Tiempo": tables["Tiempo"].where(f"Anio < {SPLIT_YEAR}")}
+    return bitmaps.orphan_keys(tables["Vuelo"], early, star.ROLES)
+
+
 @query
 def x_reject_log(s: Source) -> DataFrame:
     return h.reject_log(s.star["Vuelo"]).select("VueloKey", "TiempoKey", "reason")
@@ -839,6 +849,15 @@ def x_change_detect(s: Source) -> DataFrame:
     return h.change_detect(_old_carriers(s), _new_carriers(s), ["CarrierNombre"], ATTRIBUTES)
 
 
+@query
+def x_hash_changes(s: Source) -> DataFrame:
+    """The same states from stored row hashes in buckets."""
+    table, key = f"huellas_{uuid.uuid4().hex}", ["CarrierNombre"]
+    changes.store_hashes(_old_carriers(s), key, ATTRIBUTES, table, s.area.path("hashes"))
+    feed = h.one_per_key(_new_carriers(s), key, ATTRIBUTES)
+    return changes.changes_by_hash(s.spark, table, feed, key, ATTRIBUTES)
+
+
 @query
 def x_upsert(s: Source) -> DataFrame:
     old = _old_carriers(s).select("CarrierNombre", *ATTRIBUTES)
@@ -933,6 +952,35 @@ def x_stream_load(s: Source) -> DataFrame:
     return _facts(s, folder).withColumn("lote", F.when(F.col("lote") == "1", "1").otherwise("2"))
 
 
+def _monthly(df: DataFrame) -> DataFrame:
+    return df.select(F.col("Year").alias("Anio"), F.col("Month").alias("Mes"), "row_id", "Seats", "Passengers", "Payload")
+
+
+@query
+def x_correct_months(s: Source) -> DataFrame:
+    """Facts foldered by month after corrections of two months: rows are missing, changed and added."""
+    folder, rows, order = s.area.path("monthly"), _monthly(s.segments), ["row_id", "Payload", "Passengers"]
+    keyed = number(rows, "VueloKey", ["Anio", "Mes", *order], s.area, kind="bigint")
+    tables.stage_overwrite(keyed, folder, "Vuelo", *corrections.MONTH)
+    late = rows.where("(Anio = 1995 AND Mes = 3 AND row_id % 5 <> 0) OR (Anio = 1996 AND Mes = 7)").withColumn("Seats", F.col("Seats") + 1)
+    again = rows.where("Anio = 1996 AND Mes = 7 AND row_id % 3 = 0").withColumn("row_id", F.col("row_id") + 1_000_000_000)
+    return corrections.correct_months(s.spark, folder, "Vuelo", late.unionByName(again), "VueloKey", order, s.area)
+
+
+@query
+def x_merged_profile(s: Source) -> DataFrame:
+    """Profiles of two loads, merged: exact counts, and whether the estimates are within their stated errors."""
+    raw, columns = s.segments, ["UniqueCarrier", "OriginAirportSeqID", "AirlineID", "Passengers", "Payload", "CarrierRegion"]
+    parts = [profiles.profile(raw.where(f"Year {side} {SPLIT_YEAR}"), columns) for side in ("<", ">=")]
+    found = s.area.table(profiles.estimates(profiles.kept(*parts)), "estimates")
+    exact = raw.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    exact = exact.select(F.stack(F.lit(len(columns)), *[x for c in columns for x in (F.lit(c), F.col(c))]).alias("columna", "exactos"))
+    return found.join(exact, "columna").select(
+        "columna", "filas", "nulos",
+        (F.abs(F.col("distintos") - F.col("exactos")) <= 3 * profiles.DISTINCT_ERROR * F.col("exactos") + 1).alias("distintos_en_margen"),
+    )
+
+
 @query
 def x_load_metadata(s: Source) -> DataFrame:
     return _first_load(s, s.segments)[1]

@@ -32,6 +32,8 @@ FACT_NAMES = {
     "DemoraPista": "DemoraPista",
 }
 FACT_KEYS = ("TiempoKey", "TransportistaKey", "AeropuertoOrigenKey", "AeropuertoDestinoKey")
+#: The dimension of every key of the fact.
+ROLES = dict(zip(FACT_KEYS, ("Tiempo", "Transportista", "Aeropuerto", "Aeropuerto")))
 NATURAL_KEYS = {
     "Tiempo": ("Anio", "Mes"),
     "Transportista": ("CarrierNombre",),
@@ -263,18 +265,14 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
 
 def orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Key values in the fact that their dimension does not have, with row counts."""
-    roles = {
-        "TiempoKey": "Tiempo", "TransportistaKey": "Transportista",
-        "AeropuertoOrigenKey": "Aeropuerto", "AeropuertoDestinoKey": "Aeropuerto",
-    }
-    cells = [x for column in roles for x in (F.lit(column), F.col(column).cast("int"))]
+    cells = [x for column in ROLES for x in (F.lit(column), F.col(column).cast("int"))]
     used = (
-        fact.select(F.stack(F.lit(len(roles)), *cells).alias("columna", "valor"))
+        fact.select(F.stack(F.lit(len(ROLES)), *cells).alias("columna", "valor"))
         .groupBy("columna", "valor")
         .agg(F.count("*").alias("filas"))
     )
     known = None
-    for column, table in roles.items():
+    for column, table in ROLES.items():
         keys = dims[table].select(F.lit(column).alias("columna"), F.col(f"{table}Key").alias("valor"))
         known = keys if known is None else known.unionByName(keys)
     return used.join(known, ["columna", "valor"], "left_anti")

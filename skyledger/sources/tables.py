@@ -14,9 +14,9 @@ from skyledger.sources.files import lookup_schema, null_tokens, present_lookups,
 from skyledger.staging import StagingArea
 
 
-def stage_overwrite(df: DataFrame, folder: str, table: str, *partition_by: str) -> DataFrame:
-    """Replace a table's content, so that loading twice equals loading once."""
-    writer = df.write.mode("overwrite")
+def stage_overwrite(df: DataFrame, folder: str, table: str, *partition_by: str, dynamic: bool = False) -> DataFrame:
+    """Replace a table's content, so that loading twice equals loading once; ``dynamic``: that of the partitions in ``df`` only."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{folder}/{table}")
