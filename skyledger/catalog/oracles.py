@@ -657,17 +657,26 @@ def oracles() -> dict[str, str]:
     # audit
     o["audit_rule_counts"] = sql(_rules_audit(), rules)
     o["audit_run_counts"] = sql(_union("SELECT 'iniciales' AS registros, count(*) AS filas FROM t100", "SELECT 'finales', count(*) FROM p_final"), rules)
+    def listed(rule: str, metric: str, src: str, where: str = "true", codes: str | None = None) -> str:
+        names = f"coalesce(string_agg(DISTINCT {codes}, ',' ORDER BY {codes}), '')" if codes else "CAST(NULL AS VARCHAR)"
+        return f"SELECT '{rule}' AS rule, '{metric}' AS metric, count(*) AS value, {names} AS codes FROM {src} WHERE {where}"
+
+    outside = f"AirlineID <> 0 AND (AirlineID < {fv.AIRLINE_ID_MIN} OR AirlineID > {fv.AIRLINE_ID_MAX})"
+    ids = f"(SELECT DISTINCT AirlineID FROM (SELECT TRY_CAST(AirlineID AS INT) AS AirlineID FROM h3) WHERE {outside})"
     o["audit_lookup_counts"] = sql(_union(
-        "SELECT 'carriers' AS rule, 'original' AS metric, count(*) AS value FROM unique_carriers",
-        "SELECT 'carriers', 'suffixed', count(*) FROM k1 WHERE contains(Code, '(')",
-        "SELECT 'carriers', 'coded', count(*) FROM k1", "SELECT 'carriers', 'final', count(*) FROM k3",
-        "SELECT 'carriers', 'inactive', count(*) FROM k3 WHERE NOT IsActive",
-        "SELECT 'history', 'original', count(*) FROM history",
-        "SELECT 'history', 'suffixed', count(*) FROM history WHERE contains(UniqueCarrier, '(')",
-        "SELECT 'history', 'inverted', count(*) FROM h1 WHERE StartDate > EndDate",
-        f"SELECT 'history', 'future', count(*) FROM h2 WHERE year(EndDate) > {CURRENT_YEAR}",
-        "SELECT 'history', 'before_id_check', count(*) FROM h3", "SELECT 'history', 'before_owner_check', count(*) FROM h4",
-        "SELECT 'history', 'final', count(*) FROM h_final"), CARRIERS, steps)
+        listed("carriers", "original", "unique_carriers"), listed("carriers", "coded", "k1"),
+        listed("carriers", "suffixed", "k1", "contains(Code, '(')", "Code"),
+        "SELECT 'carriers', 'duplicates', (SELECT count(*) FROM k2) - (SELECT count(*) FROM k3), CAST(NULL AS VARCHAR)",
+        listed("carriers", "final", "k3"), listed("carriers", "inactive", "k3", "NOT IsActive", "Code"),
+        listed("history", "original", "history"), listed("history", "suffixed", "history", "contains(UniqueCarrier, '(')", "UniqueCarrier"),
+        listed("history", "inverted", "h1", "StartDate > EndDate", "UniqueCarrier"),
+        listed("history", "future", "h2", f"year(EndDate) > {CURRENT_YEAR}", "UniqueCarrier"),
+        listed("history", "before_id_check", "h3"),
+        "SELECT 'history', 'bad_ids', (SELECT count(*) FROM h3) - (SELECT count(*) FROM h4), "
+        f"(SELECT coalesce(string_agg(CAST(AirlineID AS VARCHAR), ',' ORDER BY AirlineID), '') FROM {ids})",
+        listed("history", "before_owner_check", "h4"),
+        listed("history", "foreign_claims", "(SELECT * FROM h4 WHERE row_id NOT IN (SELECT row_id FROM h_final))", codes="UniqueCarrier"),
+        listed("history", "final", "h_final")), CARRIERS, steps)
 
     def defect(name: str, where: str, src: str = "t100") -> str:
         return f"SELECT '{name}' AS defect, count(*) AS rows FROM {src} WHERE {where}"

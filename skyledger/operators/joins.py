@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.staging import StagingArea
 
-#: A table of at most this many (narrow) rows is broadcast.
-BROADCAST_ROWS = 500_000
-#: Beyond it, every key is spread over this many shuffle slots.
-SALTS = 32
+#: A written table is broadcast if it takes at most this many bytes in memory, as
+#: estimated from its rows and the width of its columns.
+BROADCAST_BYTES = 64 << 20
+#: Bytes that a row takes besides its values, and that a text takes on average.
+_ROW_BYTES, _TEXT_BYTES = 32, 32
+
+
+def row_bytes(table: DataFrame) -> int:
+    """An estimate of the memory that a row of a broadcast table takes."""
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    return _ROW_BYTES + sum(8 + _TEXT_BYTES * isinstance(f.dataType, wide) for f in table.schema)
 
 
 def _match(keys: Sequence[str], null_safe: bool) -> Column:
@@ -31,29 +38,21 @@ def attach(
     *,
     null_safe: bool = False,
     rows: int | None = None,
-    broadcast_rows: int | None = None,
+    broadcast_bytes: int | None = None,
     name: str = "map",
 ) -> DataFrame:
     """Left join ``table``, which has one row per key, onto ``df``.
 
     The table is written first and its rows are counted (from file footers).
-    Up to ``broadcast_rows`` it is broadcast and ``df`` stays where it is;
-    above that both sides are shuffled on key and salt, so that a hot key is
-    split over many tasks. Callers that already know a written table's size
-    pass ``rows``.
+    Up to ``broadcast_bytes`` it is broadcast and ``df`` stays where it is; above
+    that both sides are shuffled by key, where adaptive execution splits the
+    partitions of hot keys. Callers that already know a written table's rows pass
+    ``rows``.
     """
     if rows is None:
         table = area.table(table, name)
         rows = table.count()
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     table = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    condition = _match(keys, null_safe)
-    if rows <= limit:
-        joined = df.join(F.broadcast(table), condition, "left")
-    else:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-        copies = table.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(
-            copies, condition & (F.col("_salt") == F.col("_slot")), "left"
-        ).drop("_salt", "_slot")
-    return joined.drop(*[f"_key_{k}" for k in keys])
+    other = F.broadcast(table) if rows * row_bytes(table) <= limit else table.hint("merge")
+    return df.join(other, _match(keys, null_safe), "left").drop(*[f"_key_{k}" for k in keys])

@@ -18,18 +18,21 @@ def dense_key(
     area: StagingArea,
     start: int = 1,
     kind: str = "int",
+    spread: int | None = None,
 ) -> DataFrame:
     """Number the rows ``start, start + 1, ...`` in the order of ``order_by``.
 
     Rows are range-partitioned and sorted, and written with their partition and
     their place in it. What is left is to add, per partition, the rows of the
     partitions before it: a table of as many rows as there are partitions. Pass
-    an order that tells rows apart and no partition grows with a hot key.
+    an order that tells rows apart and no partition grows with a hot key. Where the
+    first ``spread`` columns tell nearly all rows apart, ranges are made of them
+    alone, and the sampling of ranges need not compute the others.
     """
     order = [F.col(c).asc_nulls_first() for c in order_by]
     place = F.monotonically_increasing_id()
     placed = area.table(
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*order[:spread])
         .sortWithinPartitions(*order)
         .select(
             "*",

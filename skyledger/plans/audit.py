@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import fixed_values as fv
-from skyledger.functions.numbers import holds, within
+from skyledger.functions.numbers import holds, to_number, within
 from skyledger.plans import lookups as lk, rules as r
 from skyledger.plans.clean import CleanRun
 from skyledger.staging import StagingArea
@@ -115,13 +115,19 @@ def run_counts(raw: DataFrame, final: DataFrame) -> DataFrame:
     return size("iniciales", raw).unionByName(size("finales", final))
 
 
+def _listed(df: DataFrame, rule: str, metric: str, which: Column | None = None, codes: str | None = None) -> DataFrame:
+    """How many rows, and the different codes among them in order if asked for: (rule, metric, value, codes)."""
+    rows = df if which is None else df.where(holds(which))
+    names = F.array_join(F.sort_array(F.collect_set(F.col(codes))), ",") if codes else F.lit(None).cast("string")
+    return rows.agg(F.count("*").alias("value"), names.alias("codes")).select(
+        F.lit(rule).alias("rule"), F.lit(metric).alias("metric"), "value", "codes"
+    )
+
+
 def lookup_counts(
     carriers: DataFrame, history: DataFrame, current_year: int, area: StagingArea
 ) -> DataFrame:
-    """What cleaning the carrier lookups removed and kept, step by step."""
-    def size(df: DataFrame, name: str) -> DataFrame:
-        return tall(df.agg(F.count("*").alias(name)))
-
+    """What cleaning the carrier lookups removed and kept, step by step, with the codes and ids that were met."""
     coded = lk.normalized_carriers(carriers)
     suffixed = F.col("Code").contains("(")
     unique = lk.unique_carriers(carriers)
@@ -129,19 +135,33 @@ def lookup_counts(
     dated = lk.parse_dates(unsuffixed)
     swapped = lk.swap_dates(dated)
     current = lk.drop_future(swapped, current_year)
-    valid = lk.drop_bad_ids(current)
-    final = lk.drop_foreign_claims(valid, area)
+    typed = current.withColumn("AirlineID", to_number(F.col("AirlineID"), "int"))
+    outside = ~F.col("AirlineID").between(fv.AIRLINE_ID_MIN, fv.AIRLINE_ID_MAX) & (F.col("AirlineID") != 0)
+    valid = area.table(lk.drop_bad_ids(current), "valid")
+    final = area.table(lk.drop_foreign_claims(valid, area), "final")
+    claims = valid.join(final.select("row_id"), "row_id", "left_anti")
+    kept = coded.where(~suffixed)
+    duplicates = tall(
+        kept.select(F.lit(1).alias("n")).unionAll(unique.select(F.lit(-1).alias("n")))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("carriers__duplicates"))
+    ).withColumn("codes", F.lit(None).cast("string"))
+    carrier = "UniqueCarrier"
     return _all(
-        size(carriers, "carriers__original"),
-        counts(coded, carriers__suffixed=suffixed, carriers__coded=F.lit(True)),
-        counts(unique, carriers__final=F.lit(True), carriers__inactive=~F.col("IsActive")),
-        counts(history, history__original=F.lit(True),
-               history__suffixed=holds(F.col("UniqueCarrier").contains("("))),
-        counts(dated, history__inverted=holds(F.col("StartDate") > F.col("EndDate"))),
-        counts(swapped, history__future=holds(F.year("EndDate") > current_year)),
-        size(current, "history__before_id_check"),
-        size(valid, "history__before_owner_check"),
-        size(final, "history__final"),
+        _listed(carriers, "carriers", "original"),
+        _listed(coded, "carriers", "coded"),
+        _listed(coded, "carriers", "suffixed", suffixed, "Code"),
+        duplicates,
+        _listed(unique, "carriers", "final"),
+        _listed(unique, "carriers", "inactive", ~F.col("IsActive"), "Code"),
+        _listed(history, "history", "original"),
+        _listed(history, "history", "suffixed", F.col(carrier).contains("("), carrier),
+        _listed(dated, "history", "inverted", F.col("StartDate") > F.col("EndDate"), carrier),
+        _listed(swapped, "history", "future", F.year("EndDate") > current_year, carrier),
+        _listed(current, "history", "before_id_check"),
+        _listed(typed, "history", "bad_ids", outside, "AirlineID"),
+        _listed(valid, "history", "before_owner_check"),
+        _listed(claims, "history", "foreign_claims", codes=carrier),
+        _listed(final, "history", "final"),
     )
 
 

@@ -173,7 +173,7 @@ def fact_vuelo(
     rows = fact_rows(resolved)
     rest = [c for c in rows.columns if c not in order_by and c != "TiempoKey"]
     return dense_key(
-        rows, "VueloKey", ["TiempoKey", *order_by, *rest], area, start, "bigint"
+        rows, "VueloKey", ["TiempoKey", *order_by, *rest], area, start, "bigint", 1 + len(order_by)
     ).drop(*order_by)
 
 

@@ -78,30 +78,35 @@ def test_attach_gives_the_same_rows_both_ways(spark, area, null_safe):
     df = _hot(spark)
     table = df.groupBy("k").agg(F.max("v").alias("top"))
     small = joins.attach(df, table, ["k"], area, null_safe=null_safe)
-    large = joins.attach(df, table, ["k"], area, null_safe=null_safe, broadcast_rows=0)
+    large = joins.attach(df, table, ["k"], area, null_safe=null_safe, broadcast_bytes=0)
     assert "Broadcast" in small._jdf.queryExecution().sparkPlan().toString()
-    assert "_salt" in large._jdf.queryExecution().logical().toString()
+    assert "SortMergeJoin" in large._jdf.queryExecution().sparkPlan().toString()
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert large.count() == df.count()
     tops = {r.k: r.top for r in small.collect()}
     assert (tops[None] is not None) == null_safe
 
 
-def test_salted_join_splits_a_hot_key(spark, area):
+def test_large_join_splits_a_hot_key(spark, area):
+    """A key with a third of the rows does not stay in one partition."""
     df = _hot(spark)
+    df = df.unionByName(df).unionByName(df).withColumn("wide", F.concat(*[F.sha2(F.uuid(), 512) for _ in range(3)]))
     table = df.groupBy("k").agg(F.max("v").alias("top"))
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = joins.attach(df, table, ["k"], area, broadcast_rows=0)
-        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert max(sizes) < 6000 / 3 / 2
+        joined = joins.attach(df.repartition(16), table, ["k"], area, broadcast_bytes=0)
+        sizes = [r[1] for r in area.table(joined.withColumn("p", F.spark_partition_id()), "joined").groupBy("p").count().collect()]
+        assert max(sizes) < df.count() / 3 / 2
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_dense_key_is_dense_ordered_and_repeatable(spark, area):
