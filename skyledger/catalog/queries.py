@@ -718,7 +718,7 @@ def dw_contract(s: Source) -> DataFrame:
 
 @query
 def audit_rule_counts(s: Source) -> DataFrame:
-    return audit.rule_counts(s.run, s.area)
+    return audit.rule_counts(s.segments, s.lookup("airports"), s.lookup("history"), s.area)
 
 
 @query

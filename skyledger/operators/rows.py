@@ -58,3 +58,26 @@ def dedupe_first_by_key(
     row = F.struct(*order_by, *rest)
     first = df.groupBy(*keys).agg(F.min(row).alias("_row"))
     return first.select(*keys, "_row.*").select(*df.columns)
+
+
+class Marks:
+    """Which conditions a row met on its way through a chain of steps, as bits of one column, to be counted together."""
+
+    column = "_marks"
+
+    def __init__(self):
+        self.names: list[str] = []
+
+    def add(self, df: DataFrame, **conditions: Column) -> DataFrame:
+        bits = F.col(self.column) if self.names else F.lit(0).cast("bigint")
+        for name, condition in conditions.items():
+            bits = bits.bitwiseOR(F.when(condition, F.lit(1 << len(self.names))).otherwise(0).cast("bigint"))
+            self.names.append(name)
+        return df.withColumn(self.column, bits)
+
+    def counts(self) -> list[Column]:
+        """Aggregates, one per condition."""
+        return [
+            F.count_if(F.col(self.column).bitwiseAND(F.lit(1 << i).cast("bigint")) != 0).alias(name)
+            for i, name in enumerate(self.names)
+        ]

@@ -7,19 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import fixed_values as fv
-from skyledger.functions.numbers import holds, to_number, within
+from skyledger.functions.numbers import holds, to_number
+from skyledger.operators.joins import attach
+from skyledger.operators.rows import Marks
 from skyledger.plans import lookups as lk, rules as r
-from skyledger.plans.clean import CleanRun
+from skyledger.plans.clean import run_rules
 from skyledger.staging import StagingArea
 
 
-def counts(df: DataFrame, **conditions: Column) -> DataFrame:
-    """One pass over ``df``: (rule, metric, value) per ``rule__metric=condition``."""
-    names = list(conditions)
-    measured = df.agg(*[F.count_if(conditions[n]).alias(n) for n in names])
-    return tall(measured)
-
-
 def tall(one_row: DataFrame) -> DataFrame:
     cells = []
     for name in one_row.columns:
@@ -39,71 +34,44 @@ def _all(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def rule_counts(run: CleanRun, area: StagingArea) -> DataFrame:
-    """Affected rows per rule of one run."""
-    c = F.col
-    true = F.lit(True)
-    bad = ~r.valid_distance()
-    imputed = run.deduped.where(bad).join(
-        run.routes.select(*r.ENDS), list(r.ENDS), "left_semi",
+def rule_counts(raw: DataFrame, airports: DataFrame, history: DataFrame, area: StagingArea) -> DataFrame:
+    """Affected rows per rule of one run.
+
+    The rules note on every row what they met (``Marks``), and all of it is counted
+    in one pass over the repaired rows. The counts come from results of tasks, not
+    from accumulators, which count a recomputed stage twice when an executor is lost.
+    """
+    c, marks = F.col, Marks()
+    run = run_rules(raw, airports, history, area, marks=marks)
+    bad, found = ~r.valid_distance(), run.routes.select(*r.ENDS, F.lit(True).alias("_known"))
+    distances = attach(run.deduped, found, r.ENDS, area, rows=run.routes.count()).agg(
+        F.count_if(bad).alias("R07__invalid"),
+        F.count_if(bad & c("_known")).alias("R07__imputed"),
+        F.count_if((c("Freight") < 0) & (~bad | c("_known"))).alias("R15__removed"),
     )
-    bad_rows = counts(run.deduped, R07__invalid=bad)
-    filled = tall(imputed.agg(F.count("*").alias("R07__imputed")))
-
-    coded = counts(run.coded, R17__unified=true)
-    before_codes = r.r15_negative_freight(run.flown)
-    early = counts(before_codes, R01__suffixes=c("UniqueCarrier").rlike(fv.CODE_SUFFIX))
-    freight = counts(run.flown, R15__removed=c("Freight") < 0)
-    names = tall(run.coded.select("UniqueCarrierName").distinct().agg(
-        F.count("UniqueCarrierName").alias("R02__names_before")
-    ))
-    names_after = tall(r.r02_names(run.coded).select("UniqueCarrierName").distinct().agg(
-        F.count("UniqueCarrierName").alias("R02__names_after")
-    ))
-    missing_ids = counts(run.coded, R03__missing=F.coalesce("AirlineID", F.lit(0)) == 0)
-    unknown_ids = counts(run.identified, R03__unknown=c("AirlineID") == 0)
-
-    air = within(c("AirTime"), fv.MINUTES_MIN, fv.MINUTES_MAX)
-    ramp = within(c("RampTime"), fv.MINUTES_MIN, fv.MINUTES_MAX)
-    local = counts(
-        r.region_tokens_to_null(r.blanks_to_null(run.identified)),
-        R04__carrier_name=c("CarrierName").isNull(),
-        R04__class=c("Class").isNull(),
-        R04__origin_city=c("OriginCityName").isNull(),
-        R04__dest_city=c("DestCityName").isNull(),
-        R04__aircraft_type_kept_null=c("AircraftType").isNull(),
-        R05__capped=c("DepPerformed") > c("DepScheduled"),
-        R06__capped=(c("Seats") > 0) & (c("Passengers") > c("Seats")),
-        R08__air_time=~c("AirTime").between(fv.MINUTES_MIN, fv.MINUTES_MAX),
-        R08__ramp_time=~c("RampTime").between(fv.MINUTES_MIN, fv.MINUTES_MAX),
-        R08__incoherent=air > ramp,
-        R11__origin_affected=r.seq_is_airport("Origin"),
-        R11__dest_affected=r.seq_is_airport("Dest"),
-        R12__origin_affected=r.market_is_airport("Origin"),
-        R12__dest_affected=r.market_is_airport("Dest"),
-        R13__capped=c("Freight") > c("Payload"),
-        R18__missing=c("CarrierRegion").isNull(),
+    # Names are compared as they are spelled, so that each is normalized once.
+    spelled = run.coded.select("UniqueCarrierName").distinct()
+    names = r.r02_names(spelled.withColumn("_spelled", c("UniqueCarrierName"))).agg(
+        F.count("_spelled").alias("R02__names_before"), F.count_distinct("UniqueCarrierName").alias("R02__names_after")
     )
-    repaired = counts(
-        run.repaired,
-        R09__merged=c("is_merged_carrier"),
-        R11__origin_left=r.seq_is_airport("Origin"),
-        R11__dest_left=r.seq_is_airport("Dest"),
-        R12__origin_left=r.market_is_airport("Origin"),
-        R12__dest_left=r.market_is_airport("Dest"),
-        R14__flagged=c("Flag_Review_Seats") == 1,
-        R16__inactive=c("IsActive") == 0,
-        R18__unknown=c("CarrierRegion") == fv.UNKNOWN_REGION,
+    repaired = run.repaired.agg(
+        *marks.counts(),
+        F.count_if(c("is_merged_carrier")).alias("R09__merged"),
+        F.count_if(r.seq_is_airport("Origin")).alias("R11__origin_left"),
+        F.count_if(r.seq_is_airport("Dest")).alias("R11__dest_left"),
+        F.count_if(r.market_is_airport("Origin")).alias("R12__origin_left"),
+        F.count_if(r.market_is_airport("Dest")).alias("R12__dest_left"),
+        F.count_if(c("Flag_Review_Seats") == 1).alias("R14__flagged"),
+        F.count_if(c("IsActive") == 0).alias("R16__inactive"),
+        F.count_if(c("CarrierRegion") == fv.UNKNOWN_REGION).alias("R18__unknown"),
+        F.count("*").alias("_repaired"),
     )
-    return _all(
-        _removed("R10", run.raw, run.deduped), bad_rows, filled, freight, early, coded, names,
-        names_after, missing_ids, unknown_ids, local, repaired,
-        tall(
-            run.repaired.select(F.lit(1).alias("n"))
-            .unionAll(run.final.select(F.lit(-1).alias("n")))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("R10__removed_at_end"))
-        ),
+    repaired = area.table(repaired, "counts")
+    at_end = tall(
+        repaired.select(c("_repaired").alias("n")).unionAll(run.final.agg((-F.count("*")).alias("n")))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("R10__removed_at_end"))
     )
+    return _all(_removed("R10", run.raw, run.deduped), tall(distances), tall(names), tall(repaired.drop("_repaired")), at_end)
 
 
 def run_counts(raw: DataFrame, final: DataFrame) -> DataFrame:

@@ -14,12 +14,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import fixed_values as fv
-from skyledger.functions.numbers import holds
+from skyledger.functions import text
+from skyledger.functions.numbers import holds, within
 from skyledger.operators.evidence import Evidence, EvidenceTables, Memory, pairs_of, picked
 from skyledger.operators.impute import FILL, fill_missing, fill_wrong
+from skyledger.operators.rows import Marks
 from skyledger.plans import rules as r
 from skyledger.plans.derive import add_measures
 from skyledger.staging import StagingArea
@@ -58,6 +60,30 @@ def known_ids(df: DataFrame, order_by: Sequence[str], memory: Memory) -> DataFra
     return picked(pairs, [spec.name]).select(F.col("key1").alias("UniqueCarrier"), F.col("first").cast("int").alias(FILL))
 
 
+def local_conditions() -> dict[str, Column]:
+    """What the rules from R04 on meet in a row once its blanks are null."""
+    c = F.col
+    air, ramp = (within(c(n), fv.MINUTES_MIN, fv.MINUTES_MAX) for n in ("AirTime", "RampTime"))
+    return {
+        "R04__carrier_name": c("CarrierName").isNull() | (F.trim("CarrierName") == ""),
+        "R04__class": c("Class").isNull(),
+        "R04__origin_city": c("OriginCityName").isNull(),
+        "R04__dest_city": c("DestCityName").isNull(),
+        "R04__aircraft_type_kept_null": c("AircraftType").isNull(),
+        "R05__capped": c("DepPerformed") > c("DepScheduled"),
+        "R06__capped": (c("Seats") > 0) & (c("Passengers") > c("Seats")),
+        "R08__air_time": ~c("AirTime").between(fv.MINUTES_MIN, fv.MINUTES_MAX),
+        "R08__ramp_time": ~c("RampTime").between(fv.MINUTES_MIN, fv.MINUTES_MAX),
+        "R08__incoherent": air > ramp,
+        "R11__origin_affected": r.seq_is_airport("Origin"),
+        "R11__dest_affected": r.seq_is_airport("Dest"),
+        "R12__origin_affected": r.market_is_airport("Origin"),
+        "R12__dest_affected": r.market_is_airport("Dest"),
+        "R13__capped": c("Freight") > c("Payload"),
+        "R18__missing": text.tokens_to_null(c("CarrierRegion"), fv.REGION_NULL_TOKENS).isNull(),
+    }
+
+
 @dataclass
 class CleanRun:
     """A run's stages, kept so that the audit can count without repeating them."""
@@ -80,15 +106,21 @@ def run_rules(
     area: StagingArea,
     order_by: Sequence[str] = r.ROW_ORDER,
     memory: Memory | None = None,
+    marks: Marks | None = None,
 ) -> CleanRun:
-    """Run the rules; with ``memory`` on what earlier loads know as well."""
+    """Run the rules; with ``memory`` on what earlier loads know as well.
+
+    ``marks`` notes on the rows of ``repaired`` what the rules met, for the audit.
+    """
+    mark = marks.add if marks else lambda df, **_: df
     deduped = area.table(r.r10_dedupe(raw, order_by), "deduped")
 
     routes = area.table(known_routes(deduped, order_by, memory) if memory else r.route_distances(deduped), "routes")
     flown = r.use_route_distance(deduped, routes, area, rows=routes.count())
 
-    coded = r.r17_unify_carrier(r.r01_suffix(r.r15_negative_freight(flown)))
-    named = r.r02_names(coded)
+    kept = mark(r.r15_negative_freight(flown), R01__suffixes=F.col("UniqueCarrier").rlike(fv.CODE_SUFFIX))
+    coded = r.r17_unify_carrier(r.r01_suffix(kept))
+    named = mark(r.r02_names(coded), R17__unified=F.lit(True), R03__missing=F.coalesce("AirlineID", F.lit(0)) == 0)
     ids = known_ids(named, order_by, memory) if memory else r.known_airline_ids(named, order_by)
     ids = area.table(ids, "airline-ids")
     identified = r.use_airline_ids(named, ids, area, rows=ids.count())
@@ -96,6 +128,8 @@ def run_rules(
     # Everything up to the next evidence changes a row from its own columns only.
     # R04 has no carrier name to fill: R17 made it equal to the code it is filled from.
     prepared = r.blanks_to_null(identified, r.REQUIRED_TEXTS[1:])
+    if marks:
+        prepared = mark(prepared, R03__unknown=F.col("AirlineID") == 0, **local_conditions())
     prepared = r.r08_times(r.r06_cap_passengers(r.r05_cap_departures(prepared)))
     prepared = r.region_tokens_to_null(prepared)
 
@@ -122,7 +156,7 @@ def run_rules(
         df = known.join(df, f"{end}AirportID")
         df = fill_wrong(df, target, f"_{end}_market", r.market_is_airport(end))
     repaired = df
-    final = r.r10_dedupe(repaired, order_by)
+    final = r.r10_dedupe(repaired.drop(Marks.column), order_by)
     return CleanRun(
         raw, deduped, routes, flown, coded, identified, prepared, repaired, final
     )
