@@ -4,9 +4,14 @@ Every text is encoded whole by both: tokens A of a byte-level vocabulary, tokens
 B of a piece vocabulary. An anchor is a byte offset at which tokens of both end
 and after which both go on with a token that starts with a space. Anchors cut a
 text into windows, and a window is nothing but its ids of A and of B: its groups
-and links are worked out once and remembered under these ids, up to a fixed
-number of windows a task. Inside a window, groups end where tokens of both end,
-and tokens are linked where their bytes overlap.
+and links are worked out once and remembered under these ids. Inside a window,
+groups end where tokens of both end, and tokens are linked where their bytes
+overlap.
+
+Neither tokenizer joins a character to a space that follows it (of B's pieces
+this is looked up), so a text is encoded in segments that begin with a space,
+and a task remembers the segments it has met with their windows, up to a fixed
+number. That the tokens spell the text is checked for every segment.
 
 How many documents hold a pair linked is counted by a grouped sum over each
 document's different pairs. The counts come back to the documents by a join; the
@@ -25,7 +30,9 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +47,15 @@ BYTE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs whose counts are broadcast.
 FREQUENT = 1 << 15
-#: Windows that a task remembers.
-_REMEMBERED = 1 << 18
+#: Segments that a task remembers, and those that are encoded at a time.
+_REMEMBERED, _TOGETHER = 1 << 17, 1 << 12
 #: Bytes of texts encoded at a time.
 _LOT = 2 << 20
 #: Bits of an id of B inside a pair.
 _B_BITS = 20
 _MARKER = "▁"
+#: Where a text is cut that has other white space before a space, several spaces, or one at an end.
+_CUT, _ODD_SPACE = re.compile(r"(?<=\S)(?= +[^ ])"), re.compile(r"[^\S ] ")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -56,99 +65,160 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class Spelled:
-    """The bytes of every token of a vocabulary."""
-
-    def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
-        self.size = np.array([len(t) for t in tokens], np.int64)
-        self.spaced = np.array([t[:1] == b" " for t in tokens])
-
-    def text(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
 class Tokenizers:
-    """Both tokenizers, made anew in every task from the content of their files."""
+    """Both tokenizers, made anew in every task from the content of their files, and the bytes of their tokens."""
 
     def __init__(self, byte_json: str, piece_model: bytes):
         self.a = tokenizers.Tokenizer.from_str(byte_json)
         self.a.encode_special_tokens = True
         letters, vocabulary = _byte_letters(), self.a.get_vocab(with_added_tokens=True)
-        spelled = [b""] * (max(vocabulary.values()) + 1)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            spelled[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        self.a_spelled = Spelled(spelled)
+            self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        self.b_spelled = Spelled([
-            bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
-            else self.b.id_to_piece(i).replace(_MARKER, " ").encode()
-            for i in range(self.b.vocab_size())
-        ])
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in a], self.b.encode(texts, num_threads=1)
-
-
-def linked(a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Of tokens that end at these offsets: (index in A, index in B) of all that overlap, and after each shared end (tokens of A, of B) so far."""
-    links, cuts, i, j = [], [], 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        links.append((i, j))
-        x, y = a_ends[i], b_ends[j]
-        i, j = i + (x <= y), j + (y <= x)
-        if x == y:
-            cuts.append((i, j))
-    return links, cuts
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
+        self.b_bytes = [
+            bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_MARKER, " ").encode() for i, p in enumerate(pieces)
+        ]
+        self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_spaced, self.b_spaced = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.by_segment = not any(re.search(f"[^{_MARKER}]{_MARKER}", p) for p in pieces)
+
+    def segments(self, text: str) -> list[str]:
+        """Of space + text, cut before spaces that follow another character; each without its first space."""
+        if not self.by_segment:
+            return [text]
+        if "  " in text or text[0] == " " or text[-1] == " " or _ODD_SPACE.search(text):
+            return [s[1:] for s in _CUT.split(" " + text)]
+        return text.split(" ")
+
+    def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all segments one after another, and how many each segment has."""
+        a, b = [], []
+        for at in range(0, len(segments), _TOGETHER):
+            part = segments[at:at + _TOGETHER]
+            a += [e.ids for e in self.a.encode_batch_fast([" " + s for s in part], add_special_tokens=False)]
+            b += self.b.encode(part, num_threads=1)
+        flat = [np.fromiter(chain.from_iterable(x), np.int32) for x in (a, b)]
+        return *flat, *[np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
+
+    def spell(self, segments: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Which segments both tokens' bytes spell."""
+        texts = [b" " + s.encode() for s in segments]
+        good = np.ones(len(texts), bool)
+        for ids, n, token in ((a, n_a, self.a_bytes), (b, n_b, self.b_bytes)):
+            tokens = list(map(token.__getitem__, ids.tolist()))
+            ends = np.cumsum(n)
+            parts = zip((ends - n).tolist(), ends.tolist())
+            good &= np.fromiter((b"".join(tokens[i:j]) == t for (i, j), t in zip(parts, texts)), bool, len(texts))
+        return good
+
+
+def _gathered(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all entries of these ranges, one range after another."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))
+
+
+class Ragged:
+    """Arrays of different lengths, one after another."""
+
+    def __init__(self):
+        self.value, self.begin, self.size = (np.empty(0, np.int64) for _ in range(3))
+
+    def add(self, value: np.ndarray, size: np.ndarray) -> None:
+        self.begin = np.r_[self.begin, len(self.value) + np.cumsum(size) - size]
+        self.value, self.size = np.r_[self.value, value], np.r_[self.size, size]
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        return self.value[_gathered(self.begin[at], self.size[at])]
 
 
 class Aligner:
-    """Windows that were met, each with its groups and links."""
+    """Segments and windows that were met: windows by their ids, with the text of their groups and their links."""
 
     def __init__(self, both: Tokenizers):
-        self.a, self.b = both.a_spelled, both.b_spelled
+        self.both = both
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.segment: dict[str, int] = {}
+        self.segment_windows, self.segment_tokens = Ragged(), np.empty((0, 3), np.int64)  # tokens of A, of B, spelled
+        self.window: dict[tuple[bytes, bytes], int] = {}
         self.groups: list[str] = []
-        self.n_groups: list[int] = []
-        self.pairs: list[list[int]] = []
-
-    def window(self, key: tuple[bytes, bytes]) -> int:
-        """The number of a window; a new one is aligned."""
-        a, b = (np.frombuffer(k, np.int32) for k in key)
-        links, cuts = linked(np.cumsum(self.a.size[a]).tolist(), np.cumsum(self.b.size[b]).tolist())
-        a, b = a.tolist(), b.tolist()
-        parts, i, j = [], 0, 0
-        for p, q in cuts:
-            parts.append(",".join(map(str, a[i:p])) + "|" + ",".join(map(str, b[j:q])))
-            i, j = p, q
-        self.number[key] = len(self.groups)
-        self.groups.append(";".join(parts))
-        self.n_groups.append(len(parts))
-        self.pairs.append([a[i] << _B_BITS | b[j] for i, j in links])
-        return len(self.groups) - 1
-
-    def align(self, a_ids: list[int], b_ids: list[int]) -> tuple[int, int, str, np.ndarray, np.ndarray]:
-        """Of one text: groups, links, the groups' digest, its different pairs and how often each is linked."""
-        if len(self.groups) > _REMEMBERED:
+        self.n_groups, self.pairs = np.empty(0, np.int64), Ragged()
+
+    def _align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray) -> None:
+        """Add windows, given all their ids one after another and the number of those of A."""
+        a_end, b_end = np.cumsum(self.both.a_size[a]), np.cumsum(self.both.b_size[b])
+        window_end = a_end[np.cumsum(n_a) - 1]
+        # Between one end of any token and the next there is one token of A and one of B: a link.
+        ends = np.union1d(a_end, b_end)
+        pairs = (a[np.searchsorted(a_end, ends)].astype(np.int64) << _B_BITS) | b[np.searchsorted(b_end, ends)]
+        self.pairs.add(pairs, np.diff(np.searchsorted(ends, window_end, "right"), prepend=0))
+        shared, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        i, j = np.r_[0, i + 1].tolist(), np.r_[0, j + 1].tolist()
+        groups = [",".join(a_text[p:q]) + "|" + ",".join(b_text[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])]
+        last = np.searchsorted(shared, window_end, "right")
+        self.n_groups = np.r_[self.n_groups, np.diff(last, prepend=0)]
+        self.groups += [";".join(groups[p:q]) for p, q in zip([0, *last[:-1].tolist()], last.tolist())]
+
+    def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the windows of these ids, which spell the same bytes, and where in the bytes they end."""
+        both = self.both
+        a_end, b_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
+        shared, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
+        anchors = np.flatnonzero(np.r_[both.a_spaced[a[i[:-1] + 1]] & both.b_spaced[b[j[:-1] + 1]], True])
+        i, j = np.r_[0, i[anchors] + 1], np.r_[0, j[anchors] + 1]
+        a_bytes, b_bytes, p, r = a.tobytes(), b.tobytes(), (4 * i).tolist(), (4 * j).tolist()
+        keys = [(a_bytes[p0:p1], b_bytes[r0:r1]) for p0, p1, r0, r1 in zip(p, p[1:], r, r[1:])]
+        new = {key: k for k, key in enumerate(keys) if key not in self.window}
+        if new:
+            first = np.fromiter(new.values(), np.int64, len(new))
+            size_a, size_b = np.diff(i)[first], np.diff(j)[first]
+            self.window.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+            self._align(a[_gathered(i[first], size_a)], b[_gathered(j[first], size_b)], size_a)
+        return np.fromiter(map(self.window.__getitem__, keys), np.int64, len(keys)), shared[anchors]
+
+    def _learn(self, segments: list[str]) -> None:
+        a, b, n_a, n_b = self.both.encode(segments)
+        good = self.both.spell(segments, a, b, n_a, n_b)
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        count = np.zeros(len(segments), np.int64)
+        numbers = np.empty(0, np.int64)
+        if len(a):
+            numbers, ends = self._windows(a, b)
+            segment_end = np.cumsum(self.both.a_size[a])[np.cumsum(n_a[good]) - 1]
+            count[good] = np.diff(np.searchsorted(ends, segment_end, "right"), prepend=0)
+        self.segment.update(zip(segments, range(len(self.segment), len(self.segment) + len(segments))))
+        self.segment_windows.add(numbers, count)
+        self.segment_tokens = np.concatenate([self.segment_tokens, np.stack([n_a, n_b, good], 1)])
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of every text: tokens of A, of B, groups, links; the groups' digest; and (text, pair, times) of its different pairs."""
+        if len(self.segment) > _REMEMBERED:
             self._forget()
-        a, b = np.array(a_ids, np.int32), np.array(b_ids, np.int32)
-        a_ends, b_ends = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
-        _, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        anchors = np.flatnonzero(self.a.spaced[a[i[:-1] + 1]] & self.b.spaced[b[j[:-1] + 1]])
-        i, j = (4 * np.r_[0, ends[anchors] + 1, ends[-1] + 1] for ends in (i, j))
-        a_bytes, b_bytes = a.tobytes(), b.tobytes()
-        i, j = i.tolist(), j.tolist()
-        keys = [(a_bytes[p:q], b_bytes[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])]
-        known = self.number
-        numbers = [n if (n := known.get(k)) is not None else self.window(k) for k in keys]
-        digest = hashlib.sha256(";".join(map(self.groups.__getitem__, numbers)).encode()).hexdigest()
-        links = np.array([p for n in numbers for p in self.pairs[n]], np.int64)
-        pairs, times = np.unique(links, return_counts=True)
-        return sum(map(self.n_groups.__getitem__, numbers)), len(links), digest, pairs, times
+        split = [self.both.segments(t) if t else [] for t in texts]
+        new = [s for s in dict.fromkeys(chain.from_iterable(split)) if s not in self.segment]
+        if new:
+            self._learn(new)
+        n = len(texts)
+        of = np.repeat(np.arange(n), [len(s) for s in split])
+        at = np.fromiter(map(self.segment.__getitem__, chain.from_iterable(split)), np.int64, len(of))
+        spelled = np.bincount(of, self.segment_tokens[at, 2] == 0, n) == 0
+        at, of = at[spelled[of]], of[spelled[of]]
+        tokens = [np.bincount(of, self.segment_tokens[at, k], n) for k in (0, 1)]
+        windows, of = self.segment_windows.take(at), np.repeat(of, self.segment_windows.size[at])
+        size = self.pairs.size[windows]
+        totals = np.stack([*tokens, np.bincount(of, self.n_groups[windows], n), np.bincount(of, size, n)], 1).astype(np.int64)
+        texts_of_windows, ends = list(map(self.groups.__getitem__, windows.tolist())), np.searchsorted(of, np.arange(n + 1)).tolist()
+        digests = [
+            hashlib.sha256(";".join(texts_of_windows[p:q]).encode()).hexdigest() if p < q else "" for p, q in zip(ends, ends[1:])
+        ]
+        kinds, kind = np.unique(self.pairs.take(windows), return_inverse=True)
+        held, times = np.unique(np.repeat(of, size) * max(1, len(kinds)) + kind, return_counts=True)
+        return totals, digests, held // max(1, len(kinds)), kinds[held % max(1, len(kinds))], times
 
 
 _SCHEMA = (
@@ -161,24 +231,14 @@ def _aligned(byte_json: str, piece_model: bytes):
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = Tokenizers(byte_json, piece_model)
-        aligner = Aligner(both)
+        aligner = Aligner(Tokenizers(byte_json, piece_model))
         for batch in sliced(batches, "text", _LOT):
-            texts = texts_of(batch.column("text"))
-            rows = []
-            for text, a, b in zip(texts, *both.encode([t.decode() for t in texts])):
-                spelled = b" " + text
-                if text and both.a_spelled.text(a) == spelled and both.b_spelled.text(b) == spelled:
-                    rows.append((len(a), len(b), *aligner.align(a, b)))
-                else:
-                    rows.append((0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)))
-            n_a, n_b, n_groups, n_links, digests, pairs, times = zip(*rows)
-            offsets = pa.array(np.r_[0, np.cumsum([len(p) for p in pairs])].astype(np.int32))
+            totals, digests, of, pairs, times = aligner.align([t.decode() for t in texts_of(batch.column("text"))])
+            offsets = pa.array(np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
-                batch.column("place"), batch.column("doc_id").cast(pa.int64()),
-                *[pa.array(n, pa.int64()) for n in (n_a, n_b, n_groups, n_links)], pa.array(digests, pa.string()),
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(pairs))),
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(times).astype(np.int32))),
+                batch.column("place"), batch.column("doc_id").cast(pa.int64()), *map(pa.array, totals.T),
+                pa.array(digests, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(pairs)),
+                pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
             ], names)
 
     return run
