@@ -776,6 +776,7 @@ def oracles() -> dict[str, str]:
     o["x_evidence_load"] = two_loads(
         [("raw1", f"SELECT * FROM t100 WHERE row_id < {middle}")], all_rules("raw1", "p"), all_rules("t100", "w"),
         [("q_clean", f"SELECT * FROM w_clean WHERE row_id >= {middle}")])
+    o["x_stream_distinct"] = sql("SELECT DISTINCT * EXCLUDE (row_id) FROM t100")
     months = "(Anio = 1995 AND Mes = 3) OR (Anio = 1996 AND Mes = 7)"
     turn = "row_number() OVER (PARTITION BY Anio, Mes ORDER BY row_id, Payload, Passengers)"
     o["x_correct_months"] = sql(

@@ -952,6 +952,17 @@ def x_stream_load(s: Source) -> DataFrame:
     return _facts(s, folder).withColumn("lote", F.when(F.col("lote") == "1", "1").otherwise("2"))
 
 
+@query
+def x_stream_distinct(s: Source) -> DataFrame:
+    """The raw segments without copies, from a stream of files that holds many copies, two files at a time."""
+    inbox, folder, progress = (s.area.path(n) for n in ("inbox", "distinct", "progress"))
+    rows = s.segments
+    rows.unionByName(rows.where("row_id % 3 = 0")).repartition(5).write.parquet(inbox)
+    for _ in range(2):
+        increments.distinct_segments(s.spark, inbox, folder, progress, files_per_batch=2).awaitTermination()
+    return s.spark.read.schema(rows.schema).parquet(folder).drop("row_id")
+
+
 def _monthly(df: DataFrame) -> DataFrame:
     return df.select(F.col("Year").alias("Anio"), F.col("Month").alias("Mes"), "row_id", "Seats", "Passengers", "Payload")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import impute as im, joins, rows as ro
 from skyledger.operators.evidence import Evidence, gather
 from skyledger.operators.keys import dense_key
+from skyledger.operators.rows import Marks
 
 c = F.col
 
@@ -130,3 +131,11 @@ def test_mode_ties_of_digit_like_texts(spark):
     got = {r["name"]: r["mode"] for r in gather(df, specs, "n").collect()}
     assert got == {"t": "10", "n": "9"}
     assert found(im.mode_by_key(df, ["k"], "t")) == {"k": "10"}
+
+
+def test_marks_are_counted_together(spark):
+    marks = Marks()
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i) for i in range(30)], "i int, v int")
+    df = marks.add(df, **{"a__even": F.col("i") % 2 == 0, "a__null": F.col("v").isNull()})
+    df = marks.add(df.where("i < 20"), b__big=F.col("v") > 10)
+    assert df.agg(*marks.counts()).first().asDict() == {"a__even": 10, "a__null": 4, "b__big": 8}

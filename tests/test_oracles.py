@@ -1,9 +1,13 @@
 """Queries against their SQL oracles. ``ALL_ORACLES=1`` runs every one."""
 
+import importlib
 import os
+import sys
 
 import pytest
 
+import __spark_entry__
+
 from __spark_entry__ import queries
 from skyledger.catalog.oracles import oracles
 from skyledger.catalog.queries import QUERIES
@@ -40,3 +44,14 @@ def test_no_python_and_no_cross_join_in_the_plan(spark):
         plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         for bad in ("Python", "Cartesian", "NestedLoop"):
             assert bad not in plan
+
+
+def test_core_queries_stay_without_the_corpus_libraries(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith("skyledger.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "sentencepiece", None)
+    with pytest.warns(UserWarning, match="left out"):
+        entry = importlib.reload(__spark_entry__)
+    assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
+    monkeypatch.undo()
+    importlib.reload(__spark_entry__)
