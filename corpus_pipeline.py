@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import linewindows, mixing, nearcopies, pieces, toxicity
+from skyledger.llm import linewindows, mixing, pieces, simhash, toxicity
 from skyledger.llm.common import area, table
 
 
@@ -25,8 +25,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates: five-word shingles, Jaccard of at least 0.8."""
-    return nearcopies.one_of_each_group(docs, area(spark))
+    """One document of every group that SimHash links, under the settings of that operator."""
+    return simhash.one_of_each_group(docs, area(spark))
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
