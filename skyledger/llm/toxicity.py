@@ -240,7 +240,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, area: StagingArea, rows: int = FIT_ROWS) -> DataFrame:
-    """text, toxic, weight of at most ``rows`` learnable documents of each class, written."""
+    """text, toxic, weight of at most ``rows`` learnable documents of each class, written; of rows with one doc_id one text."""
     usable = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna()
         .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -254,6 +254,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, area: StagingArea, rows: int
     chosen = area.table(first[0].unionByName(first[1]).coalesce(1), "labelled")
     return area.table(
         docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic", "weight").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .select("text", "toxic", "weight"),
         "fit-sample",
     )

@@ -3,33 +3,16 @@
 import random
 from collections import Counter
 
-import corpus_pipeline
-from skyledger.llm import language, preference, suffixdedup
-from tests.llm.test_corpus import _got, _order, _suffix_brute
-
-def _groups(texts):
-    """Root of every text under brute force."""
-    sets = []
-    for text in texts:
-        words = text.lower().split()
-        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))})
-    parent = list(range(len(texts)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
+import pytest
+from pyspark.sql import functions as F
 
-    for i in range(len(texts)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if 5 * common >= 4 * (len(sets[i]) + len(sets[j]) - common):
-                a, b = sorted((find(i), find(j)))
-                parent[b] = a
-    return [find(i) for i in range(len(texts))]
+import corpus_pipeline
+from skyledger.llm import components, language, preference, simhash, suffixdedup, toxicity
+from tests.llm.test_corpus import _got, _order, _simhash, _suffix_brute
 
 
 def test_near_copies_of_the_pipeline_equal_brute_force(spark):
+    """One document of every group of fingerprints that differ in at most four bits stays; others with its columns do not."""
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
     texts = []
@@ -37,18 +20,38 @@ def test_near_copies_of_the_pipeline_equal_brute_force(spark):
         words = [word() for _ in range(rnd.choice([30, 120, 400]))]
         texts.append(" ".join(words))
         copy = list(words)
-        for at in rnd.sample(range(len(words)), max(1, len(words) * rnd.choice([1, 2, 3, 4, 5, 6]) // 200)):
+        for at in rnd.sample(range(len(words)), rnd.choice([0, 1, 2, 4])):
             copy[at] = word()
         texts.append(" ".join(copy))
     core = [word() for _ in range(200)]
-    for i in range(60):  # more than are all compared
+    for i in range(60):
         copy = list(core)
-        copy[rnd.randrange(200)] = copy[rnd.randrange(200)] = word()
+        copy[rnd.randrange(200)] = word()
         texts.append(" ".join(copy))
-    roots = _groups(texts)
+    marks = [_simhash(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (marks[i] ^ marks[j]).bit_count() <= simhash.MOST_BITS:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     kept = corpus_pipeline.without_near_copies(spark, docs, "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+    assert 100 < len(set(root)) < len(texts)
+
+
+@pytest.mark.parametrize("most", [10_000, 1, 0])
+def test_components_with_hot_centres(spark, area, monkeypatch, most):
+    monkeypatch.setattr(components, "CENTRE_EDGES", 5)
+    monkeypatch.setattr(components, "MOST_CENTRES", most)
+    edges = [(50, i) for i in range(51, 120)] + [(i, i + 1) for i in range(200, 240)] + [(7, 7), (300, 301), (301, 300)]
+    edges += [(130, i) for i in range(131, 150)] + [(149, 119)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    got = {r["node"]: r["root"] for r in components.components(table, area).collect()}
+    want = {n: 50 for n in [*range(50, 120), *range(130, 150)]} | {n: 200 for n in range(200, 241)} | {300: 300, 301: 300}
+    assert got == want
+    assert components.components(table.limit(0), area).count() == 0
 
 
 def test_hot_grams_are_split_before_the_shuffle(spark, area, monkeypatch):
@@ -99,3 +102,14 @@ def test_turns_without_conversation_are_not_gathered(spark):
     assert all(r["rejected"] == "" for r in rows if r["pair_id"] is None)
     assert sorted(r["pair_id"] for r in rows if r["pair_id"] is not None) == [4, 5]
     assert next(r["rejected"] for r in rows if r["pair_id"] == 4) == "<|assistant|>\nb<|end|>\n"
+
+
+def test_a_repeated_id_is_one_document_of_the_sample(spark, area):
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = docs.unionByName(spark.range(2, 60).select(F.col("id").alias("doc_id"), F.lit("another text").alias("text")))
+    labels = spark.range(1, 60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    labels = labels.unionByName(labels)
+    sample = toxicity.fit_sample(docs, labels, area, rows=10).collect()
+    assert Counter(r["toxic"] for r in sample) == {0: 10, 1: 10}
+    every = toxicity.fit_sample(docs, labels, area, rows=100).collect()
+    assert sum(r["text"].startswith("text ") for r in every) == 1 and len(every) < 60
