@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,8 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 #: Rows of whole texts that one Arrow batch should hold at most, in bytes.
 BATCH_BYTES = 16 << 20
+#: Of the C library, where it has one: gives unused memory back.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +62,10 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 def sliced(
     batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most`` bytes of ``column``."""
+    """The same rows in batches of about ``most`` bytes of ``column``.
+
+    Spark keeps Python workers for later tasks, so memory that is free at the end goes back to the system.
+    """
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -71,3 +77,6 @@ def sliced(
             if held >= most or i == n - 1:
                 yield batch.slice(start, i + 1 - start)
                 start, held = i + 1, 0
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)

@@ -36,11 +36,11 @@ MARKER = "▁"
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Segments a task remembers.
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 17
 #: Bytes of new segments encoded at a time.
-_TOGETHER = 1 << 18
+_TOGETHER = 1 << 17
 #: Bytes of texts encoded at a time.
-_LOT = 4 << 20
+_LOT = 2 << 20
 _SEGMENT = re.compile(rb" *[^ \n]+|\n| +")
 _ALIGNED = re.compile(f"{MARKER}*[^{MARKER}\n ]*")
 
