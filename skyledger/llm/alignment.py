@@ -8,18 +8,18 @@ and links are worked out once and remembered under these ids. Inside a window,
 groups end where tokens of both end, and tokens are linked where their bytes
 overlap.
 
-Neither tokenizer joins a character to a space that follows it (of B's pieces
-this is looked up), so a text is encoded in segments that begin with a space,
-and a task remembers the segments it has met with their windows, up to a fixed
-number. That the tokens spell the text is checked for every segment.
+Neither tokenizer joins a character to a space or line end that follows it (of
+B's pieces this is looked up), so a text is encoded in segments that begin with
+one, and a task remembers the segments it has met with their windows, up to a
+fixed number. That the tokens spell the text is checked for every segment.
 
 How many documents hold a pair linked is counted by a grouped sum over each
 document's different pairs. The counts come back to the documents by a join; the
 ``FREQUENT`` pairs that most documents hold are broadcast for it, so that no pair
 is a hot key, and the other rows are shuffled.
 
-The vocabulary files are given, never trained; every task reads its own copy,
-which travels with the job.
+The vocabulary files are given, never trained; their content travels with the
+job, and a worker makes the tokenizers once.
 
 Defined results: a missing or empty text has no tokens, and so has a text whose
 tokens do not spell space + text. Every row is a document of its own, repeated
@@ -30,6 +30,8 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -37,6 +39,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -48,14 +51,21 @@ PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs whose counts are broadcast.
 FREQUENT = 1 << 15
 #: Segments that a task remembers, and those that are encoded at a time.
-_REMEMBERED, _TOGETHER = 1 << 17, 1 << 12
+_REMEMBERED, _TOGETHER = 1 << 17, 1 << 11
 #: Bytes of texts encoded at a time.
-_LOT = 2 << 20
+_LOT = 1 << 19
 #: Bits of an id of B inside a pair.
 _B_BITS = 20
 _MARKER = "▁"
-#: Where a text is cut that has other white space before a space, several spaces, or one at an end.
-_CUT, _ODD_SPACE = re.compile(r"(?<=\S)(?= +[^ ])"), re.compile(r"[^\S ] ")
+#: What keeps a text from being cut before every space and line end, and where it is cut then.
+_ODD, _OTHER_SPACE, _CUT = ("  ", " \n", "\n ", "\n\n"), re.compile(r"[^\S \n]"), re.compile(r"(?<=\S)(?= +[^ ])")
+_STARTS = (" ", "\n")
+# How byte-level vocabularies split a text before merging, as file entry and as pattern.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BEYOND_LATIN = "\u0250"
+#: The tokenizers that a worker has made, kept for its next task.
+_MADE: dict[int, Tokenizers] = {}
 
 
 def _byte_letters() -> dict[str, int]:
@@ -65,12 +75,30 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def _by_rank(file: dict) -> tiktoken.Encoding | None:
+    """The vocabulary of the file for an encoder that merges by rank, if its merges are in the order of their ids.
+
+    It gives the same ids several times faster. It is used for Latin letters only,
+    whose classes are the same in every edition of Unicode.
+    """
+    vocabulary, merges = file["model"]["vocab"], [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
+    first, split = len(vocabulary) - len(merges), file["pre_tokenizer"]
+    in_order = all(vocabulary.get(a + b) == first + i for i, (a, b) in enumerate(merges))
+    if not in_order or file["normalizer"] or split != _BYTE_LEVEL:
+        return None
+    letters = _byte_letters()
+    ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
+    return tiktoken.Encoding("latin", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
 class Tokenizers:
-    """Both tokenizers, made anew in every task from the content of their files, and the bytes of their tokens."""
+    """Both tokenizers, made from the content of their files, and the bytes of their tokens."""
 
     def __init__(self, byte_json: str, piece_model: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = tokenizers.Tokenizer.from_str(byte_json)
         self.a.encode_special_tokens = True
+        self.a_latin = _by_rank(json.loads(byte_json))
         letters, vocabulary = _byte_letters(), self.a.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
@@ -81,36 +109,51 @@ class Tokenizers:
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_MARKER, " ").encode() for i, p in enumerate(pieces)
         ]
         self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = (np.array([f"{i}," for i in range(len(t))], object) for t in (self.a_bytes, self.b_bytes))
         self.a_spaced, self.b_spaced = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.by_segment = not any(re.search(f"[^{_MARKER}]{_MARKER}", p) for p in pieces)
+        # A line end is spelled by itself, so that it can be cut off what comes before.
+        first = self.b.encode("\na")[:1]
+        self.by_line = not any("\n" in p for p in pieces) and first == [self.b.piece_to_id(_MARKER)]
 
     def segments(self, text: str) -> list[str]:
-        """Of space + text, cut before spaces that follow another character; each without its first space."""
+        """Of space + text, cut before spaces and line ends that follow another character; a leading space is left out."""
         if not self.by_segment:
-            return [text]
-        if "  " in text or text[0] == " " or text[-1] == " " or _ODD_SPACE.search(text):
-            return [s[1:] for s in _CUT.split(" " + text)]
-        return text.split(" ")
-
-    def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of A and of B of all segments one after another, and how many each segment has."""
-        a, b = [], []
-        for at in range(0, len(segments), _TOGETHER):
-            part = segments[at:at + _TOGETHER]
-            a += [e.ids for e in self.a.encode_batch_fast([" " + s for s in part], add_special_tokens=False)]
-            b += self.b.encode(part, num_threads=1)
-        flat = [np.fromiter(chain.from_iterable(x), np.int32) for x in (a, b)]
-        return *flat, *[np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
-
-    def spell(self, segments: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-        """Which segments both tokens' bytes spell."""
-        texts = [b" " + s.encode() for s in segments]
+            return [" " + text]
+        if not self.by_line or any(odd in text for odd in _ODD) or text[0] in " \n" or text[-1] in " \n" or _OTHER_SPACE.search(text):
+            return _CUT.split(" " + text)
+        return text.replace("\n", " \n").split(" ")
+
+    def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all segments one after another, how many each segment has, and whether both spell it."""
+        a, b, whole = [], [], [s if s[:1] in _STARTS else " " + s for s in segments]
+        for at in range(0, len(whole), _TOGETHER):
+            texts = whole[at:at + _TOGETHER]
+            a += self._encode_a(texts)
+            # B puts a space before what it encodes.
+            own = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+            b += [ids[1:] if t[0] == "\n" else ids for t, ids in zip(texts, own)]
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int32) for x in (a, b))
+        return a, b, n_a, n_b, self._spelled([t.encode() for t in whole], a, b, n_a, n_b)
+
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        latin = [self.a_latin is not None and (t.isascii() or max(t) < _BEYOND_LATIN) for t in texts]
+        others = self.a.encode_batch_fast([t for t, own in zip(texts, latin) if not own], add_special_tokens=False)
+        others = iter(others)
+        return [self.a_latin.encode_ordinary(t) if own else next(others).ids for t, own in zip(texts, latin)]
+
+    def _spelled(self, texts: list[bytes], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        whole, size = b"".join(texts), np.fromiter(map(len, texts), np.int64, len(texts))
         good = np.ones(len(texts), bool)
-        for ids, n, token in ((a, n_a, self.a_bytes), (b, n_b, self.b_bytes)):
-            tokens = list(map(token.__getitem__, ids.tolist()))
-            ends = np.cumsum(n)
-            parts = zip((ends - n).tolist(), ends.tolist())
-            good &= np.fromiter((b"".join(tokens[i:j]) == t for (i, j), t in zip(parts, texts)), bool, len(texts))
+        for ids, n, tokens, sizes in ((a, n_a, self.a_bytes, self.a_size), (b, n_b, self.b_bytes, self.b_size)):
+            of = np.repeat(np.arange(len(texts)), n)
+            same = np.bincount(of, sizes[ids], len(texts)) == size
+            found = list(map(tokens.__getitem__, ids.tolist()))
+            if not same.all() or b"".join(found) != whole:
+                ends = np.cumsum(n).tolist()
+                same = np.array([b"".join(found[i:j]) == t for i, j, t in zip([0, *ends], ends, texts)])
+            good &= same
         return good
 
 
@@ -157,19 +200,34 @@ class Aligner:
         pairs = (a[np.searchsorted(a_end, ends)].astype(np.int64) << _B_BITS) | b[np.searchsorted(b_end, ends)]
         self.pairs.add(pairs, np.diff(np.searchsorted(ends, window_end, "right"), prepend=0))
         shared, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        i, j = np.r_[0, i + 1].tolist(), np.r_[0, j + 1].tolist()
-        groups = [",".join(a_text[p:q]) + "|" + ",".join(b_text[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])]
         last = np.searchsorted(shared, window_end, "right")
         self.n_groups = np.r_[self.n_groups, np.diff(last, prepend=0)]
-        self.groups += [";".join(groups[p:q]) for p, q in zip([0, *last[:-1].tolist()], last.tolist())]
-
-    def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the windows of these ids, which spell the same bytes, and where in the bytes they end."""
+        # One list of "id," in the order of groups, with "|" after each group's A and ";" or a line end after its B.
+        n = np.arange(len(shared))
+        group_a, group_b = (np.repeat(n, np.diff(k, prepend=-1)) for k in (i, j))
+        parts = np.empty(len(a) + len(b) + 2 * len(n), object)
+        ends_a, ends_b = i + 1, j + 1  # tokens up to each group's end
+        before_b = np.r_[0, ends_b[:-1]]
+        parts[np.arange(len(a)) + before_b[group_a] + 2 * group_a] = self.both.a_text[a]
+        parts[ends_a + before_b + 2 * n] = "|"
+        parts[np.arange(len(b)) + ends_a[group_b] + 2 * group_b + 1] = self.both.b_text[b]
+        closing = np.full(len(n), ";", object)
+        closing[last - 1] = "\n"
+        parts[ends_a + ends_b + 2 * n + 1] = closing
+        text = "".join(parts.tolist()).replace(",|", "|").replace(",;", ";").replace(",\n", "\n")
+        self.groups += text.split("\n")[:-1]
+
+    def _windows(self, a: np.ndarray, b: np.ndarray, segment_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the windows of these ids, which spell the same bytes, and where in the bytes they end.
+
+        The end of a segment is one: what follows it in a text begins with white space.
+        """
         both = self.both
         a_end, b_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
         shared, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        anchors = np.flatnonzero(np.r_[both.a_spaced[a[i[:-1] + 1]] & both.b_spaced[b[j[:-1] + 1]], True])
+        spaced = np.r_[both.a_spaced[a[i[:-1] + 1]] & both.b_spaced[b[j[:-1] + 1]], True]
+        spaced[np.searchsorted(shared, segment_end)] = True
+        anchors = np.flatnonzero(spaced)
         i, j = np.r_[0, i[anchors] + 1], np.r_[0, j[anchors] + 1]
         a_bytes, b_bytes, p, r = a.tobytes(), b.tobytes(), (4 * i).tolist(), (4 * j).tolist()
         keys = [(a_bytes[p0:p1], b_bytes[r0:r1]) for p0, p1, r0, r1 in zip(p, p[1:], r, r[1:])]
@@ -182,14 +240,13 @@ class Aligner:
         return np.fromiter(map(self.window.__getitem__, keys), np.int64, len(keys)), shared[anchors]
 
     def _learn(self, segments: list[str]) -> None:
-        a, b, n_a, n_b = self.both.encode(segments)
-        good = self.both.spell(segments, a, b, n_a, n_b)
+        a, b, n_a, n_b, good = self.both.encode(segments)
         a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         count = np.zeros(len(segments), np.int64)
         numbers = np.empty(0, np.int64)
         if len(a):
-            numbers, ends = self._windows(a, b)
             segment_end = np.cumsum(self.both.a_size[a])[np.cumsum(n_a[good]) - 1]
+            numbers, ends = self._windows(a, b, segment_end)
             count[good] = np.diff(np.searchsorted(ends, segment_end, "right"), prepend=0)
         self.segment.update(zip(segments, range(len(self.segment), len(self.segment) + len(segments))))
         self.segment_windows.add(numbers, count)
@@ -231,7 +288,11 @@ def _aligned(byte_json: str, piece_model: bytes):
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Tokenizers(byte_json, piece_model))
+        files = hash((byte_json, piece_model))
+        if files not in _MADE:
+            _MADE.clear()
+            _MADE[files] = Tokenizers(byte_json, piece_model)
+        aligner = Aligner(_MADE[files])
         for batch in sliced(batches, "text", _LOT):
             totals, digests, of, pairs, times = aligner.align([t.decode() for t in texts_of(batch.column("text"))])
             offsets = pa.array(np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32))

@@ -83,7 +83,7 @@ def test_collocations(spark, area, shards, support, top):
 def test_collocations_cut_long_texts_and_full_bitmaps(spark, area, monkeypatch):
     """Small lots and a bitmap without a free slot change nothing."""
     texts = _phrase_texts()
-    for name, value in {"_LOT": 64, "MOST_BITS": 7, "LEAST_BITS": 7, "_ENTRIES_IN_A_TASK": 8}.items():
+    for name, value in {"_LOT": 64, "_COUNTED_LOT": 64, "MOST_BITS": 7, "LEAST_BITS": 7, "_ENTRIES_IN_A_TASK": 8}.items():
         monkeypatch.setattr(collocations, name, value)
     assert b"".join(collocations._parts(b"ab, c" * 100 + b"x" * 500 + b".y")) == b"ab, c" * 100 + b"x" * 500 + b".y"
     langs, shards = [lang or "und" for _, lang in texts], [i % 3 for i in range(len(texts))]
@@ -234,6 +234,21 @@ def test_alignment(spark, area, frequent):
     assert got == Counter((i, *r) for i, r in zip(ids, _alignment(texts)))
 
 
+def test_both_encoders_of_a_give_the_same_ids(spark):
+    """Every segment of the documents, and random ones of Latin letters, signs and spaces."""
+    with open(alignment.BYTE_FILE, encoding="utf-8") as a, open(alignment.PIECE_FILE, "rb") as b:
+        both = alignment.Tokenizers(a.read(), b.read())
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    segments = {s if s[:1] == "\n" else " " + s for t in texts for s in (t or "x").replace("\n", " \n").split(" ")}
+    rnd = random.Random(6)
+    letters = [chr(c) for c in range(32, 0x250) if chr(c).isprintable()] + ["\n", "\t", " ", " "] * 20
+    segments |= {" " + "".join(rnd.choice("etaoinshrdlu" * 60 + "".join(letters)) for _ in range(rnd.randint(1, 15))) for _ in range(20000)}
+    segments |= {rnd.choice(" \n") + rnd.choice("aeEtT.-_=0") * rnd.randint(1, 40) for _ in range(300)}
+    segments = sorted(s for s in segments if max(s) < alignment._BEYOND_LATIN)
+    found = both.a.encode_batch_fast(segments, add_special_tokens=False)
+    assert [e.ids for e in found] == [both.a_latin.encode_ordinary(s) for s in segments] == both._encode_a(segments)
+
+
 def test_alignment_of_nothing(spark, area):
     assert alignment.alignment(_docs(spark, [("x", "en")]).limit(0), area).count() == 0
     assert _got(alignment.alignment(_docs(spark, [(None, "en")]), area)) == Counter([(0, 0, 0, 0, 0, 0, 0, "")])
