@@ -10,7 +10,9 @@ A page's language is the one with the highest posterior over
 
 The last three are counted over all pages by grouped aggregation, first with the
 text's posterior, then with the posterior so far; a page's own count is taken
-out of its host's and domain's. Counts are sums of probabilities per host,
+out of its host's and domain's, but not out of those of its declaration and
+suffix, which are smoothed by what they say themselves. A text's confidence
+stops growing at ``_ENOUGH`` trigrams. Counts are sums of probabilities per host,
 domain, declaration and suffix, pre-aggregated before the shuffle.
 
 The text model is fitted on all labelled documents of a language, or about
@@ -46,6 +48,8 @@ _SLOTS = 1 << 15
 _ENOUGH = 120
 #: Weight of the level above when a host or domain is smoothed, and of a flat likelihood.
 _SMOOTH_HOST, _SMOOTH_EVIDENCE = 3.0, 2.0
+#: Hosts and domains whose sums are broadcast.
+MOST_KEYS = 256
 _HIDDEN = re.compile(r"(?is)<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->")
 _TAG = re.compile(r"(?s)<[^>]*>")
 
@@ -170,6 +174,16 @@ def _sums(rows: DataFrame, by: str) -> DataFrame:
     )
 
 
+def _with_sums(rows: DataFrame, by: str, area: StagingArea) -> DataFrame:
+    """Adds ``<by>_sums``; the ``MOST_KEYS`` keys with most rows are joined where the rows lie, the others by shuffling."""
+    sums = area.table(_sums(rows, by).select(F.col(by).alias(f"_{by}"), F.col("sums").alias(f"{by}_sums")), f"{by}-sums")
+    most = rows.groupBy(F.col(by).alias(f"_{by}")).count().orderBy(F.desc("count"), f"_{by}").limit(MOST_KEYS)
+    frequent = F.broadcast(area.table(sums.join(most.drop("count"), f"_{by}"), f"frequent-{by}"))
+    same = F.col(by) == F.col(f"_{by}")
+    rest = rows.join(frequent, same, "left_anti").join(sums, same)
+    return rows.join(frequent, same).unionByName(rest).drop(f"_{by}")
+
+
 def _total(rows: DataFrame, n: int) -> list[float]:
     """The sum of every language's probability over all rows."""
     found = {r["i"]: r["x"] for r in _long_sums(rows).collect()}
@@ -214,9 +228,7 @@ def fuse(rows: DataFrame, langs: list[str], area: StagingArea) -> DataFrame:
     everything = _total(rows, n)
     total = sum(everything) + n
     base = F.lit([(x + 1.0) / total for x in everything])
-    hosts = _sums(rows, "host").select(F.col("host").alias("_host"), F.col("sums").alias("host_sums"))
-    domains = _sums(rows, "domain").select(F.col("domain").alias("_domain"), F.col("sums").alias("domain_sums"))
-    joined = rows.join(hosts, F.col("host") == F.col("_host")).join(domains, F.col("domain") == F.col("_domain"))
+    joined = _with_sums(_with_sums(rows, "host", area), "domain", area)
 
     def smoothed(sums: Column, above: Column) -> Column:
         """Counts without the page's own, smoothed towards ``above``."""
