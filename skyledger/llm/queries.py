@@ -140,6 +140,34 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT
   any_value(n) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   count(*) FILTER (WHERE gone AND NOT gone_before) AS n_spans
 FROM marked GROUP BY doc_id
+""",
+    "op6_suffix_dedup": """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  SELECT doc_id, first, least(128, n - first) AS many, substr(h, CAST(2 * first + 1 AS BIGINT), 454) AS block FROM (
+    SELECT doc_id, h, len(h) // 2 - 99 AS n, unnest(range(0, len(h) // 2 - 99, 128)) AS first FROM texts WHERE len(h) >= 200)
+), strings AS (
+  SELECT doc_id, first + unnest(range(0, many)) AS pos,
+    unnest([substr(block, CAST(2 * i + 1 AS BIGINT), 200) FOR i IN range(0, many)]) AS string FROM blocks
+), later AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY string ORDER BY doc_id, pos) AS turn FROM strings)
+  WHERE turn > 1
+), gaps AS (
+  SELECT doc_id, pos, coalesce(pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100, true) AS opens FROM later
+), spans AS (
+  SELECT doc_id, min(pos) AS low, max(pos) + 100 AS high FROM (
+    SELECT doc_id, pos, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM gaps) GROUP BY doc_id, span
+), kept AS (
+  SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS after FROM spans
+), cut AS (
+  SELECT k.doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+    string_agg(substr(h, CAST(2 * after + 1 AS BIGINT), CAST(2 * (low - after) AS BIGINT)), '' ORDER BY low) AS kept
+  FROM kept k JOIN texts USING (doc_id) GROUP BY k.doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, CAST(2 * last + 1 AS BIGINT)), h))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
 """,
     "op9_exact_dedup": r"""
 WITH texts AS (

@@ -53,6 +53,8 @@ _PLACE = np.uint64((1 << 24) - 1)
 _BLOCK = 1 << 21
 #: A gram with more kinds of runs is split by whole strings.
 HOT_RUNS = 1024
+#: Hot grams (one number each) that are broadcast; more are joined by shuffling.
+HOT_GRAMS = 500_000
 #: Hot runs whose strings are expanded at a time.
 _HOT_ROWS = 1 << 13
 
@@ -398,10 +400,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _to_compare(texts: DataFrame, decided: DataFrame, area: StagingArea) -> DataFrame:
     """Runs of grams that have several kinds, with their bytes; of hot grams, their strings."""
     several = decided.where("not repeated")
-    # At most one row in HOT_RUNS, so it can be sent everywhere.
     hot = several.groupBy("sig").count().where(F.col("count") > HOT_RUNS).select(F.col("sig").alias("hot_sig"))
+    hot = area.table(hot, "hot")
     wanted = (
-        several.join(F.broadcast(area.table(hot, "hot")), F.col("sig") == F.col("hot_sig"), "left")
+        several.join(F.broadcast(hot) if hot.count() <= HOT_GRAMS else hot, F.col("sig") == F.col("hot_sig"), "left")
         .withColumn("hot", F.col("hot_sig").isNotNull())
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("sig", "at", "hot")).alias("wanted"))
