@@ -84,6 +84,10 @@ ORACLES: dict[str, str] = {
     "op1_preferences": """
 WITH turns AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL
+), lone AS (
+  SELECT '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS header, coalesce(text, '') || '<|end|>' || chr(10) AS body,
+    coalesce(role, '') = 'assistant' AS learned FROM conversations WHERE conv_id IS NULL
 ), own AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM turns
 ), last AS (
@@ -117,6 +121,10 @@ SELECT conv_id AS pair_id, n AS n_prompt_turns,
   coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY k)
     FILTER (WHERE NOT shared AND side = 'rejected' AND role = 'assistant'), '') AS rejected_mask
 FROM placed GROUP BY conv_id, n
+UNION ALL
+SELECT NULL, CASE WHEN learned THEN 0 ELSE 1 END, CASE WHEN learned THEN '' ELSE header || body END,
+  CASE WHEN learned THEN header || body ELSE '' END,
+  CASE WHEN learned THEN length(header) || '-' || length(header || body) ELSE '' END, '', '' FROM lone
 """,
     "op2_line_windows": """
 WITH texts AS (

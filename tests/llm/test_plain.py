@@ -4,10 +4,11 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
-from skyledger.llm import language, suffixdedup, toxicity
+from skyledger.llm import language, queries, suffixdedup, toxicity
 
 
 def _plain_kernel(a, b):
@@ -132,3 +133,16 @@ def test_hot_grams_beyond_the_broadcast_are_shuffled(spark, area, monkeypatch):
     want = rows()
     monkeypatch.setattr(suffixdedup, "HOT_GRAMS", 0)
     assert rows() == want and sum(r[2] for r in want) >= 59 * 150
+
+
+def test_sql_of_preferences_knows_turns_without_conversation(spark, area):
+    turns = [(None, 1, "assistant", "é"), (None, 1, "assistant", "é"), (None, 2, None, None), (None, None, "user", "q")]
+    turns += [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "q"), (3, 1, "assistant", "b"), (8, 0, "user", "x")]
+    path = area.path("tables")
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path.removeprefix('file:')}/conversations.parquet/*.parquet'")
+    got = queries.op1_preferences(spark, path)
+    names = sorted(got.columns)
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLES['op1_preferences']})").fetchall()
+    assert Counter(map(tuple, got.select(names).collect())) == Counter(want) and len(want) == 7
